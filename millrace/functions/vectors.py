@@ -28,23 +28,19 @@ def parse_labeled(text: Column) -> Column:
     return F.struct(label.try_cast("double").alias("label"), features.alias("features"))
 
 
-def centre_scores(features: Column, centres: Sequence[Sequence[float]]) -> Column:
-    """Squared distance to every centre.
+def centre_scores(features: str, centres: Sequence[Sequence[float]]) -> Column:
+    """Squared distance of the vector in column ``features`` to every centre.
 
     The centres are a model of k x dim numbers, independent of the data size, and travel as literals.
     """
     size = sum(len(c) for c in centres)
     if size <= _UNROLL_LIMIT:
-        def score(centre: Sequence[float]) -> Column:
-            total = F.lit(0.0)
-            for i, value in enumerate(centre):
-                diff = F.get(features, F.lit(i)) - F.lit(float(value))
-                total = total + diff * diff
-            return total
-
-        return F.array(*[score(c) for c in centres])
+        scores = [
+            " + ".join(f"pow(`{features}`[{i}] - {float(v)!r}D, 2)" for i, v in enumerate(centre)) for centre in centres
+        ]
+        return F.expr(f"array({', '.join(scores)})")
     literal = F.array(*[F.array(*[F.lit(float(v)) for v in c]) for c in centres])
-    return centre_scores_from(features, literal)
+    return centre_scores_from(F.col(features), literal)
 
 
 def centre_scores_from(features: Column, centres: Column) -> Column:

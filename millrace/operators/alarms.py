@@ -62,9 +62,18 @@ def cut_stretches(stretches: DataFrame, width: int, slide: int = SLIDE) -> DataF
     )
 
 
-def silent_stretches(steps: DataFrame, window: int = WINDOW, slide: int = SLIDE, chunk: int = DAY) -> DataFrame:
-    """``(from_t, until_t, last_seen_t)``: runs of window ends whose window is empty."""
-    scanned = prefix_scan(steps.select("step"), "step", chunk=chunk)
+def silent_stretches(
+    steps: DataFrame, window: int = WINDOW, slide: int = SLIDE, chunk: int = DAY, until: int | None = None
+) -> DataFrame:
+    """``(from_t, until_t, last_seen_t)``: runs of window ends whose window is empty.
+
+    Silence after the last step is reported up to ``until``, if that is given.
+    """
+    marks = steps.select("step")
+    if until is not None:
+        closing = marks.sparkSession.range(1).select(F.lit(until).cast("bigint").alias("step"))
+        marks = marks.unionByName(closing).distinct()
+    scanned = prefix_scan(marks, "step", chunk=chunk)
     last_seen = F.col("prev") + window
     runs = scanned.where(F.col("step") > last_seen).select(
         (last_seen + slide).alias("from_t"), (F.col("step") + slide).alias("until_t"), last_seen.alias("last_seen_t")
@@ -78,15 +87,20 @@ def window_status(
     slide: int = SLIDE,
     min_total: int = MIN_TOTAL,
     max_ratio: float = MAX_RATIO,
+    max_silence: int = MAX_SILENCE,
     chunk: int = DAY,
+    until: int | None = None,
 ) -> DataFrame:
-    """Totals, ratio and state for every window end between the first and the last line."""
+    """Totals, ratio and state for every window end between the first and the last line.
+
+    ``overdue`` marks windows that have been empty for longer than ``max_silence`` seconds.
+    """
     busy = sliding_intervals(steps, [], window, slide, ["success", "failure"]).select(
-        "from_t", "until_t", "n", "success", "failure"
+        "from_t", "until_t", F.lit(None).cast("bigint").alias("last_seen_t"), "n", "success", "failure"
     )
     none = F.lit(0).cast("bigint")
-    silent = silent_stretches(steps, window, slide, chunk).select(
-        "from_t", "until_t", none.alias("n"), none.alias("success"), none.alias("failure")
+    silent = silent_stretches(steps, window, slide, chunk, until).select(
+        "from_t", "until_t", "last_seen_t", none.alias("n"), none.alias("success"), none.alias("failure")
     )
     ratio = error_ratio(F.col("success"), F.col("failure"), min_total)
     judged = (
@@ -94,25 +108,21 @@ def window_status(
         .withColumn("ratio", ratio)
         .withColumn("state", window_state(F.col("ratio"), F.col("n"), max_ratio))
     )
-    return every_slide(judged, slide)
+    overdue = F.coalesce(F.col("window_end") - F.col("last_seen_t") > max_silence, F.lit(False))
+    return every_slide(judged, slide).withColumn("overdue", overdue).drop("last_seen_t")
 
 
 def ratio_candidates(status: DataFrame) -> DataFrame:
     return status.where(F.col("state") == "alarm").select("window_end", F.lit(ERROR_RATIO).alias("kind"))
 
 
-def no_data_candidates(
-    steps: DataFrame, window: int = WINDOW, slide: int = SLIDE, max_silence: int = MAX_SILENCE, chunk: int = DAY
-) -> DataFrame:
-    """Window ends at which the window has been empty for longer than ``max_silence`` seconds."""
-    late = silent_stretches(steps, window, slide, chunk)
-    ends = every_slide(late, slide)
-    return ends.where(F.col("window_end") - F.col("last_seen_t") > max_silence).select(
-        "window_end", F.lit(NO_DATA).alias("kind")
-    )
+def no_data_candidates(status: DataFrame) -> DataFrame:
+    return status.where("overdue").select("window_end", F.lit(NO_DATA).alias("kind"))
 
 
-def issued_times(candidates: DataFrame, pause: int = ALARM_PAUSE, chunk: int = DAY) -> DataFrame:
+def issued_times(
+    candidates: DataFrame, pause: int = ALARM_PAUSE, chunk: int = DAY, free_from: int | None = None
+) -> DataFrame:
     """Window ends at which an alarm goes out: more than ``pause`` seconds after the last one.
 
     Each issued alarm depends on the one before, yet all a stretch of time needs to know of the past
@@ -120,6 +130,8 @@ def issued_times(candidates: DataFrame, pause: int = ALARM_PAUSE, chunk: int = D
     through for each of these starting points in parallel, the days are chained through these small
     tables (one short row per day), and every day is played once more from its true start.
     """
+    if free_from is not None:
+        candidates = candidates.where(F.col("window_end") >= free_from)
     a_day = (
         candidates.select("window_end", floor_to(F.col("window_end"), chunk).alias("day"))
         .groupBy("day")
@@ -144,9 +156,11 @@ def issued_times(candidates: DataFrame, pause: int = ALARM_PAUSE, chunk: int = D
     return a_day.join(starts, "day").select(F.explode(F.expr(replay)).alias("window_end"))
 
 
-def alarm_log(candidates: DataFrame, pause: int = ALARM_PAUSE, chunk: int = DAY) -> DataFrame:
+def alarm_log(
+    candidates: DataFrame, pause: int = ALARM_PAUSE, chunk: int = DAY, free_from: int | None = None
+) -> DataFrame:
     """Every candidate with its fate, ``issued`` or ``suppressed``."""
-    sent = issued_times(candidates, pause, chunk).withColumn("sent", F.lit(True))
+    sent = issued_times(candidates, pause, chunk, free_from).withColumn("sent", F.lit(True))
     action = F.when(F.col("sent"), F.lit("issued")).otherwise(F.lit("suppressed"))
     return candidates.join(sent, "window_end", "left").select("window_end", "kind", action.alias("action"))
 
@@ -163,6 +177,9 @@ def alarms(
 ) -> DataFrame:
     """Both kinds of alarm under one shared pause."""
     steps = class_steps(classified, ts, slide)
-    status = window_status(steps, window, slide, min_total, max_ratio)
-    due = ratio_candidates(status).unionByName(no_data_candidates(steps, window, slide, max_silence))
+    status = window_status(steps, window, slide, min_total, max_ratio, max_silence)
+    wanted = status.where("state = 'alarm' OR overdue")
+    due = wanted.select(
+        "window_end", F.when(F.col("overdue"), F.lit(NO_DATA)).otherwise(F.lit(ERROR_RATIO)).alias("kind")
+    )
     return alarm_log(due, pause)

@@ -38,12 +38,12 @@ def random_centres(k: int, dim: int, weight: float = 0.0, seed: int = 0) -> KMea
 
 def assign(points: DataFrame, model: KMeansModel, features: str = "features") -> DataFrame:
     """Add ``cluster``, the position of the nearest centre."""
-    return points.withColumn("cluster", nearest(centre_scores(F.col(features), model.centres)))
+    return points.withColumn("cluster", nearest(centre_scores(features, model.centres)))
 
 
 def batch_sums(points: DataFrame, model: KMeansModel, features: str = "features") -> DataFrame:
     """``(cluster, n, total)`` for the batch: at most ``k`` rows, summed before the shuffle."""
-    totals = F.array(*[F.sum(F.get(features, F.lit(i))) for i in range(model.dim)])
+    totals = F.expr("array(" + ", ".join(f"sum(`{features}`[{i}])" for i in range(model.dim)) + ")")
     return (
         assign(points.select(features), model, features)
         .groupBy("cluster")

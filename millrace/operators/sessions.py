@@ -20,7 +20,7 @@ from millrace.operators.timeline import floor_to
 def session_pieces(
     hits: DataFrame, key: str, ts: str, seq: str, item: str, gap_seconds: int = 1800, keep: int = 10
 ) -> DataFrame:
-    """``(key, piece, n, first_at, last_at, items)`` per visitor and piece of time."""
+    """``(key, piece, n, first_at, last_at, items)``: per visitor and piece, one row of counts and one of items."""
     at = F.unix_micros(F.col(ts).cast("timestamp"))
     rows = hits.select(F.col(key), at.alias("at"), F.col(seq).alias("seq"), F.col(item).alias("item"))
     rows = rows.select("*", floor_to(F.col("at"), gap_seconds * 1_000_000).alias("piece"))
@@ -35,7 +35,7 @@ def session_pieces(
         .agg(F.sort_array(F.collect_list(F.struct("at", "seq", "item"))).alias("items"))
     )
     nothing = F.lit(None)
-    both = counts.select("*", nothing.cast(firsts.schema["items"].dataType).alias("items")).unionByName(
+    return counts.select("*", nothing.cast(firsts.schema["items"].dataType).alias("items")).unionByName(
         firsts.select(
             key,
             "piece",
@@ -45,50 +45,61 @@ def session_pieces(
             "items",
         )
     )
-    # ordered by visitor from here on, so one shuffle by visitor serves all that follows
-    return (
-        both.repartition(key)
+
+
+def join_pieces(pieces: DataFrame, key: str, gap_seconds: int = 1800, keep: int = 10) -> DataFrame:
+    """Sessions out of pieces: ``(key, first_at, last_at, n, items, latest)``.
+
+    Several rows may describe one piece.  One shuffle by visitor serves all steps.
+    """
+    whole = (
+        pieces.repartition(key)
         .groupBy(key, "piece")
         .agg(
             F.sum("n").alias("n"),
             F.min("first_at").alias("first_at"),
             F.max("last_at").alias("last_at"),
-            F.first("items", ignorenulls=True).alias("items"),
+            F.flatten(F.collect_list("items")).alias("items"),
         )
     )
-
-
-def sessions(
-    hits: DataFrame, key: str, ts: str, seq: str, item: str, gap_seconds: int = 1800, keep: int = 10
-) -> DataFrame:
-    """``(key, session_start, last_hit, session_length, clickstream)``."""
-    pieces = session_pieces(hits, key, ts, seq, item, gap_seconds, keep)
     line = Window.partitionBy(key).orderBy("piece")
-    silence = F.col("first_at") - F.lag("last_at").over(line)
+    # the latest hit of all earlier pieces: a session carried along may reach past the piece after it
+    silence = F.col("first_at") - F.max("last_at").over(line.rowsBetween(Window.unboundedPreceding, -1))
     starts = F.when(silence <= gap_seconds * 1_000_000, F.lit(0)).otherwise(F.lit(1))
-    numbered = pieces.withColumn("starts", starts).withColumn("session", F.sum("starts").over(line))
+    numbered = whole.withColumn("starts", starts).withColumn("session", F.sum("starts").over(line))
     earlier = Window.partitionBy(key, "session").orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
     # a piece can hold first items only while fewer than ``keep`` hits precede it: at most ``keep`` do
     needed = F.coalesce(F.sum("n").over(earlier), F.lit(0)) < keep
     trimmed = numbered.withColumn("items", F.when(needed, F.col("items")))
-    return (
-        trimmed.groupBy(key, "session")
-        .agg(
-            F.min("first_at").alias("first_at"),
-            F.max("last_at").alias("last_at"),
-            F.sum("n").alias("session_length"),
-            F.slice(F.sort_array(F.flatten(F.collect_list("items"))), 1, keep).alias("items"),
-        )
-        .select(
-            key,
-            F.timestamp_micros("first_at").alias("session_start"),
-            F.timestamp_micros("last_at").alias("last_hit"),
-            "session_length",
-            F.col("items.item").alias("clickstream"),
-        )
+    found = trimmed.groupBy(key, "session").agg(
+        F.min("first_at").alias("first_at"),
+        F.max("last_at").alias("last_at"),
+        F.sum("n").alias("n"),
+        F.slice(F.sort_array(F.flatten(F.collect_list("items"))), 1, keep).alias("items"),
+    )
+    newest = F.max("session").over(Window.partitionBy(key))
+    return found.withColumn("latest", F.col("session") == newest).drop("session")
+
+
+def session_rows(joined: DataFrame, key: str) -> DataFrame:
+    """``(key, session_start, last_hit, session_length, clickstream)``."""
+    return joined.select(
+        key,
+        F.timestamp_micros("first_at").alias("session_start"),
+        F.timestamp_micros("last_at").alias("last_hit"),
+        F.col("n").alias("session_length"),
+        F.col("items.item").alias("clickstream"),
     )
 
 
+def sessions(
+    hits: DataFrame, key: str, ts: str, seq: str, item: str, gap_seconds: int = 1800, keep: int = 10
+) -> DataFrame:
+    """``(key, session_start, last_hit, session_length, clickstream)``."""
+    pieces = session_pieces(hits, key, ts, seq, item, gap_seconds, keep)
+    return session_rows(join_pieces(pieces, key, gap_seconds, keep).drop("latest"), key)
+
+
 def session_snapshot(found: DataFrame, key: str, gap_seconds: int = 1800, at: str | None = None) -> DataFrame:
     """The latest session of every visitor.
 

@@ -281,5 +281,23 @@ SELECT count(*)::DOUBLE AS n, round(sum(x * x), 5) + 0.0 AS sxx, round(sum(x * y
 }
 
 
+# A stream reports windows up to the end of its last finished second: the last but one with rows.
+_FINISHED = " AND window_end <= (SELECT max(t) + 1 FROM per_second WHERE t < (SELECT max(t) FROM per_second))"
+
+_ORACLE |= {
+    "stream_status_by_window": _ORACLE["status_by_window"],
+    "stream_total_lengths": _ORACLE["total_lengths"],
+    "stream_top_urls": _ORACLE["top_urls"] + _FINISHED,
+    "stream_trending_terms": _ORACLE["trending_terms"] + _FINISHED,
+    "stream_alarm_log": _ORACLE["alarm_log"]
+    + " WHERE window_end <= (SELECT max(t) + 1 FROM per_second WHERE t < (SELECT max(t) FROM per_second))",
+    "stream_agent_counts": _ORACLE["agent_counts_sql"],
+    "stream_sessions": _ORACLE["sessions_by_user"],
+    "stream_kmeans": _ORACLE["kmeans_step"],
+    "stream_regression": _ORACLE["regression_sgd"],
+    "stream_saved_posts": f"WITH {_POSTS} SELECT text, count(*) AS n FROM posts GROUP BY text",
+}
+
+
 def all_oracles() -> dict[str, str]:
     return dict(_ORACLE)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from millrace.functions import access_log as al
 from millrace.operators import alarms, kmeans, logs, regression, running, sessions, sliding, words
 from millrace.plans import jobs
-from millrace.session import scratch_path, use_utc
+from millrace.session import scratch_path, prepare
 from millrace.sources import derived
 from millrace.sources.lines import read_lines
 
@@ -23,7 +23,7 @@ CLUSTERS = 5
 
 def query(fn: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(use_utc(spark), sf_dir)
+        return fn(prepare(spark), sf_dir)
 
     run.__name__, run.__doc__ = fn.__name__, fn.__doc__
     _QUERIES[fn.__name__] = run
@@ -299,14 +299,14 @@ def gap_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 def error_ratio(spark, sf_dir):
     """Totals, ratio and state of every window, silent ones included."""
     steps = alarms.class_steps(logs.classified_lines(gap_log(spark, sf_dir)), "arrived")
-    status = alarms.window_status(steps)
+    status = alarms.window_status(steps).drop("overdue")
     return status.withColumn("ratio", F.coalesce(F.round("ratio", 9), F.lit(-1.0)))
 
 
 @query
 def no_data_alarms(spark, sf_dir):
     steps = alarms.class_steps(logs.classified_lines(gap_log(spark, sf_dir)), "arrived")
-    return alarms.no_data_candidates(steps)
+    return alarms.no_data_candidates(alarms.window_status(steps))
 
 
 @query

@@ -1,0 +1,152 @@
+"""Registered queries that run as streams over the stored events, once, and read back the result."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from millrace.operators import running
+from millrace.plans.registry import (
+    DAY_GAP,
+    LOW_RATIO,
+    first_centres,
+    flat_sessions,
+    flat_windows,
+    query,
+)
+from millrace.session import scratch_path
+from millrace.sources import derived
+from millrace.streaming import jobs, learning, sinks
+from millrace.streaming.runner import for_each_batch
+from millrace.streaming.versions import VersionedTable
+
+
+def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A stored table as a stream.  All files there make one batch, so no row can come late.
+
+    The file source wants a folder or a pattern; the pattern here fits a single file and a folder.
+    """
+    schema = derived.table(spark, sf_dir, name).schema
+    return spark.readStream.schema(schema).parquet(f"{sf_dir}/{name}.parque[t]")
+
+
+def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table_stream(spark, sf_dir, "events")
+
+
+def log_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return derived.access_log(event_stream(spark, sf_dir))
+
+
+def newest_result(df: DataFrame, folder: str) -> DataFrame:
+    """Run a complete-mode stream to its end and read its last answer."""
+    spark = df.sparkSession
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+    table = VersionedTable(spark, f"{folder}/result", schema)
+    for_each_batch(df, lambda batch, i: table.write(i, batch), f"{folder}/checkpoint", None, "complete").awaitTermination()
+    return table.latest()
+
+
+def batches(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.parquet(folder).drop("batch_id")
+
+
+@query
+def stream_status_by_window(spark, sf_dir):
+    windows = jobs.status_windows(log_stream(spark, sf_dir), "10 minutes")
+    flat = flat_windows(windows)
+    return newest_result(flat, scratch_path(spark, "status"))
+
+
+@query
+def stream_total_lengths(spark, sf_dir):
+    totals = running.total_lengths(derived.posts(event_stream(spark, sf_dir)))
+    return newest_result(totals, scratch_path(spark, "totals"))
+
+
+@query
+def stream_top_urls(spark, sf_dir):
+    folder = scratch_path(spark, "top-urls")
+    lines = log_stream(spark, sf_dir)
+    out = f"{folder}/out"
+    jobs.top_urls(lines, f"{folder}/state", out, f"{folder}/cp", interval=None, delay="0 seconds").awaitTermination()
+    return batches(spark, out)
+
+
+@query
+def stream_trending_terms(spark, sf_dir):
+    folder = scratch_path(spark, "terms")
+    posts = derived.posts(event_stream(spark, sf_dir))
+    out = f"{folder}/out"
+    jobs.popular_terms(
+        posts, f"{folder}/state", out, f"{folder}/cp", interval=None, delay="0 seconds"
+    ).awaitTermination()
+    return batches(spark, out)
+
+
+@query
+def stream_alarm_log(spark, sf_dir):
+    folder = scratch_path(spark, "alarms")
+    lines = derived.without_gap(log_stream(spark, sf_dir))
+    out = f"{folder}/alarms"
+    jobs.watch_errors(
+        lines, f"{folder}/state", f"{folder}/status", out, f"{folder}/cp", interval=None, delay="0 seconds",
+        max_ratio=LOW_RATIO,
+    ).awaitTermination()
+    return batches(spark, out)
+
+
+@query
+def stream_agent_counts(spark, sf_dir):
+    folder = scratch_path(spark, "agents")
+    out = f"{folder}/out"
+    jobs.requests_to_sql(
+        log_stream(spark, sf_dir), out, f"{folder}/json", f"{folder}/cp", interval=None
+    ).awaitTermination()
+    return batches(spark, out)
+
+
+@query
+def stream_sessions(spark, sf_dir):
+    folder = scratch_path(spark, "sessions")
+    jobs.visitor_sessions(
+        event_stream(spark, sf_dir), f"{folder}/state", f"{folder}/closed", f"{folder}/open", f"{folder}/cp",
+        interval=None, key="user_id", kind="BIGINT", ts="ts", seq="event_id", item="event_type", gap_seconds=DAY_GAP,
+    ).awaitTermination()
+    found = batches(spark, f"{folder}/closed").unionByName(batches(spark, f"{folder}/open"))
+    return flat_sessions(found, "user_id")
+
+
+@query
+def stream_kmeans(spark, sf_dir):
+    """The model a training stream leaves, one row per centre and axis."""
+    folder = scratch_path(spark, "kmeans")
+    stream = derived.vectors(table_stream(spark, sf_dir, "embeddings"))
+    trainer = learning.KMeansTrainer(f"{folder}/model", first_centres(spark, sf_dir))
+    for_each_batch(stream.select("features"), trainer, f"{folder}/cp", None).awaitTermination()
+    model = learning.KMeansStore(spark, f"{folder}/model").table.latest()
+    spread = model.select(F.posexplode(F.arrays_zip("centres", "weights")).alias("cluster", "c"))
+    return spread.select(
+        "cluster", F.col("c.weights").cast("bigint").alias("n"), F.posexplode("c.centres").alias("axis", "centre")
+    ).withColumn("centre", F.round("centre", 6))
+
+
+@query
+def stream_regression(spark, sf_dir):
+    folder = scratch_path(spark, "line")
+    stream = derived.labelled_points(event_stream(spark, sf_dir)).select("label", "feature")
+    trainer = learning.LineTrainer(f"{folder}/model")
+    for_each_batch(stream, trainer, f"{folder}/cp", None).awaitTermination()
+    line = learning.LineStore(spark, f"{folder}/model").table.latest()
+    return line.select(F.round("slope", 6).alias("slope"), F.round("intercept", 6).alias("intercept"))
+
+
+@query
+def stream_saved_posts(spark, sf_dir):
+    """Post texts as saved by a stream without a bound."""
+    folder = scratch_path(spark, "saved")
+    stream = derived.posts(event_stream(spark, sf_dir))
+    query_, _ = jobs.save_posts(stream, f"{folder}/out", f"{folder}/cp", limit=None, interval=None)
+    query_.awaitTermination()
+    saved = spark.read.text(f"{folder}/out").select(F.col("value").alias("text"))
+    return saved.groupBy("text").agg(F.count("*").alias("n"))

@@ -11,6 +11,9 @@ from pyspark.sql import SparkSession
 # with whoever submits the job.
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
+    # recording the Python call site of every expression only serves error messages and makes
+    # building a plan several times slower
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -28,8 +31,8 @@ def build_session(app_name: str = "millrace", **settings: str) -> SparkSession:
     return builder.getOrCreate()
 
 
-def use_utc(spark: SparkSession) -> SparkSession:
-    """Log times carry no zone after parsing, so every job reads them in one fixed zone."""
+def prepare(spark: SparkSession) -> SparkSession:
+    """What a given session needs: log times carry no zone after parsing, so one fixed zone is used."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark
 
