@@ -14,7 +14,7 @@ from millrace.plans.registry import (
     flat_windows,
     query,
 )
-from millrace.session import scratch_path
+from millrace.session import scratch_path, use_rocksdb_state
 from millrace.sources import derived
 from millrace.streaming import jobs, learning, sinks
 from millrace.streaming.runner import for_each_batch
@@ -26,7 +26,7 @@ def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
     The file source wants a folder or a pattern; the pattern here fits a single file and a folder.
     """
-    schema = derived.table(spark, sf_dir, name).schema
+    schema = derived.table(use_rocksdb_state(spark), sf_dir, name).schema
     return spark.readStream.schema(schema).parquet(f"{sf_dir}/{name}.parque[t]")
 
 
