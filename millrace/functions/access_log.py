@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -23,15 +25,16 @@ BAD_URL = "[error]"
 _SEPARATOR = "\n"
 
 
-def field_array(line: Column) -> Column:
-    """The nine fields of a matching line, from a single evaluation of the pattern."""
-    groups = _SEPARATOR.join(f"${i + 1}" for i in range(len(FIELDS)))
+def field_array(line: Column, fields: Sequence[str] = FIELDS) -> Column:
+    """The wanted fields of a matching line after a leading empty entry, from one evaluation of the pattern."""
+    groups = "".join(f"{_SEPARATOR}${FIELDS.index(name) + 1}" for name in fields)
     return F.split(F.regexp_replace(line, ACCESS_LOG_PATTERN, groups), _SEPARATOR)
 
 
-def is_field_array(parts: Column, line: Column) -> Column:
+def is_field_array(parts: Column, line: Column, fields: Sequence[str] = FIELDS) -> Column:
     """Whether ``parts`` came from a matching line; a line with a line feed never matches."""
-    return F.coalesce((F.size(parts) == len(FIELDS)) & ~F.contains(line, F.lit(_SEPARATOR)), F.lit(False))
+    whole = F.size(parts) == len(fields) + 1
+    return F.coalesce(whole & ~F.contains(line, F.lit(_SEPARATOR)), F.lit(False))
 
 
 def log_time(date_time: Column) -> Column:

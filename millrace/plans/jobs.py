@@ -38,7 +38,7 @@ def top_referrers(log: DataFrame, window: int = 300, slide: int = 1, k: int = 10
 
 def status_windows(log: DataFrame, width: str = "1 hour") -> DataFrame:
     """Requests per status and event-time window, in window order."""
-    parsed = logs.parse_access_log(log, unmatched="drop")
+    parsed = logs.parse_access_log(log, "drop", fields=["ts", "status"])
     return sliding.tumbling_counts(parsed, ["status"], "ts", width).orderBy("window", "status")
 
 

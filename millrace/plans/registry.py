@@ -70,7 +70,7 @@ def parse_access_log(spark, sf_dir):
 
 @query
 def log_time(spark, sf_dir):
-    parsed = logs.parse_access_log(log(spark, sf_dir), unmatched="drop")
+    parsed = logs.parse_access_log(log(spark, sf_dir), "drop", fields=["ts"])
     return parsed.select("event_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("log_time"))
 
 
@@ -78,7 +78,7 @@ def log_time(spark, sf_dir):
 def unmatched_policies(spark, sf_dir):
     """What each job makes of every line, corrupt ones included."""
     lines = log(spark, sf_dir)
-    parsed = logs.parse_access_log(lines)
+    parsed = logs.parse_access_log(lines, fields=["request", "status", "agent"])
     ok, request = F.col("matched"), F.col("request")
     return parsed.select(
         "event_id",
@@ -92,7 +92,7 @@ def unmatched_policies(spark, sf_dir):
 
 @query
 def url_lenient_vs_strict(spark, sf_dir):
-    parsed = logs.parse_access_log(log(spark, sf_dir), unmatched="drop")
+    parsed = logs.parse_access_log(log(spark, sf_dir), "drop", fields=["request"])
     request = F.col("request")
     return parsed.select("event_id", al.url_strict(request).alias("strict"), al.url_lenient(request).alias("lenient"))
 

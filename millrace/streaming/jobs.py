@@ -130,7 +130,7 @@ def visitor_updates(hits: DataFrame, **settings) -> DataFrame:
 
 def status_windows(lines: DataFrame, width: str = "1 hour") -> DataFrame:
     """Requests per status and event-time window in window order, for complete mode."""
-    parsed = logs.parse_access_log(lines, unmatched="drop")
+    parsed = logs.parse_access_log(lines, "drop", fields=["ts", "status"])
     return sliding.tumbling_counts(parsed, ["status"], "ts", width).orderBy("window", "status")
 
 
