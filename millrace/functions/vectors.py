@@ -7,11 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Up to this many multiplications a distance is spelled out and compiled; longer ones use a
-# higher-order function so that the generated method stays below the JVM's size limits.
-_UNROLL_LIMIT = 512
-
-
 def parse_vector(text: Column) -> Column:
     """``[a,b]`` as an array of doubles; NULL when it is not such a list."""
     return F.from_json(text, "array<double>")
@@ -28,31 +23,13 @@ def parse_labeled(text: Column) -> Column:
     return F.struct(label.try_cast("double").alias("label"), features.alias("features"))
 
 
-def centre_scores(features: str, centres: Sequence[Sequence[float]]) -> Column:
-    """Squared distance of the vector in column ``features`` to every centre.
+def nearest_centre(features: str, centres: Sequence[Sequence[float]]) -> Column:
+    """Position of the centre closest to the vector in column ``features``, the first one on ties.
 
     The centres are a model of k x dim numbers, independent of the data size, and travel as literals.
     """
-    size = sum(len(c) for c in centres)
-    if size <= _UNROLL_LIMIT:
-        scores = [
-            " + ".join(f"pow(`{features}`[{i}] - {float(v)!r}D, 2)" for i, v in enumerate(centre)) for centre in centres
-        ]
-        return F.expr(f"array({', '.join(scores)})")
-    literal = F.array(*[F.array(*[F.lit(float(v)) for v in c]) for c in centres])
-    return centre_scores_from(F.col(features), literal)
-
-
-def centre_scores_from(features: Column, centres: Column) -> Column:
-    """Same as ``centre_scores`` for centres given as an ``array<array<double>>`` column."""
-    return F.transform(
-        centres,
-        lambda c: F.aggregate(
-            F.zip_with(features, c, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda acc, d: acc + d
-        ),
-    )
-
-
-def nearest(scores: Column) -> Column:
-    """Position of the smallest score, the first one on ties."""
-    return (F.array_position(scores, F.array_min(scores)) - 1).cast("int")
+    vectors = ", ".join("array(" + ", ".join(f"{float(v)!r}D" for v in c) + ")" for c in centres)
+    distances = f"""transform(array({vectors}), c ->
+        aggregate(zip_with(`{features}`, c, (x, y) -> (x - y) * (x - y)), 0D, (total, d) -> total + d))"""
+    best = f"array_min(transform({distances}, (d, i) -> struct(d AS d, i AS i))).i"
+    return F.when(F.col(features).isNotNull(), F.expr(best))

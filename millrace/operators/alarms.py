@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from millrace.functions.access_log import FAILURE, SUCCESS
 from millrace.operators.sliding import every_slide, sliding_intervals, step_counts
 from millrace.operators.timeline import DAY, floor_to, prefix_scan
+from millrace.session import staged
 
 # Seconds of window, slide, silence and pause between alarms; least number of lines
 # to judge; ratio above which an alarm is due.
@@ -19,9 +20,12 @@ ERROR_RATIO, NO_DATA = "error_ratio", "no_data"
 
 
 def class_steps(classified: DataFrame, ts: str, slide: int = SLIDE) -> DataFrame:
-    """Lines, successes and failures per slide step."""
+    """Lines, successes and failures per slide step, at most one row per step of history.
+
+    They are put aside, as the status of windows needs them twice.
+    """
     kind = F.col("status_class")
-    return step_counts(
+    steps = step_counts(
         classified,
         [],
         ts,
@@ -31,6 +35,7 @@ def class_steps(classified: DataFrame, ts: str, slide: int = SLIDE) -> DataFrame
             "failure": F.when(kind == FAILURE, 1).otherwise(0),
         },
     )
+    return staged(steps, "class-steps")
 
 
 def error_ratio(success: Column, failure: Column, min_total: int = MIN_TOTAL) -> Column:
@@ -182,4 +187,4 @@ def alarms(
     due = wanted.select(
         "window_end", F.when(F.col("overdue"), F.lit(NO_DATA)).otherwise(F.lit(ERROR_RATIO)).alias("kind")
     )
-    return alarm_log(due, pause)
+    return alarm_log(staged(due, "alarms-due"), pause)

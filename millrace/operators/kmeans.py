@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.vectors import centre_scores, nearest
+from millrace.functions.vectors import nearest_centre
 
 # A cluster lighter than this share of the heaviest one is dying, and the two halves
 # of a split cluster are moved apart by this share of each coordinate.
@@ -38,7 +38,7 @@ def random_centres(k: int, dim: int, weight: float = 0.0, seed: int = 0) -> KMea
 
 def assign(points: DataFrame, model: KMeansModel, features: str = "features") -> DataFrame:
     """Add ``cluster``, the position of the nearest centre."""
-    return points.withColumn("cluster", nearest(centre_scores(features, model.centres)))
+    return points.withColumn("cluster", nearest_centre(features, model.centres))
 
 
 def batch_sums(points: DataFrame, model: KMeansModel, features: str = "features") -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.text import text_length
 from millrace.operators.timeline import DAY, prefix_scan, second_of
+from millrace.session import staged
 
 
 def batch_lengths(posts: DataFrame, ts: str = "ts", text: str = "text", unit: str = "utf16") -> DataFrame:
@@ -45,7 +46,7 @@ def stop_after(posts: DataFrame, limit: int = 1000, ts: str = "ts", chunk: int =
     The check follows the write, so the second in which the bound is passed is kept whole.
     """
     second = second_of(ts)
-    per_second = posts.groupBy(second.alias("batch")).agg(F.count("*").alias("n"))
+    per_second = staged(posts.groupBy(second.alias("batch")).agg(F.count("*").alias("n")), "posts-per-second")
     # the bound is passed once, so the kept seconds are all up to the last one that starts below it
     kept = prefix_scan(per_second, "batch", sums=("n",), chunk=chunk).where(F.col("n_to_date") - F.col("n") <= limit)
     last = kept.agg(F.max("batch").alias("last")).scalar()

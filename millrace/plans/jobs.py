@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from millrace.operators import alarms as al
 from millrace.operators import logs, running, sessions, sliding, words
 from millrace.operators.timeline import second_of
+from millrace.session import staged
 
 
 def print_batches(posts: DataFrame, rows: int = 10) -> DataFrame:
@@ -17,7 +18,7 @@ def print_batches(posts: DataFrame, rows: int = 10) -> DataFrame:
 
 
 def running_post_lengths(posts: DataFrame) -> DataFrame:
-    return running.running_lengths(running.batch_lengths(posts))
+    return running.running_lengths(staged(running.batch_lengths(posts), "post-lengths"))
 
 
 def popular_terms(posts: DataFrame, prefix: str = "$", window: int = 600, slide: int = 1, k: int = 10) -> DataFrame:

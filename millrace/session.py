@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the operators rely on.  The master and all sizes (memory, cores, shuffle partitions) stay
 # with whoever submits the job.
@@ -55,3 +55,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
         base = tempfile.mkdtemp(prefix="millrace-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """The same rows, written once to the shared folder and read back.
+
+    For summaries that are far smaller than the input they come from and are used several times:
+    the input is read once whatever the optimizer makes of the uses, an executor lost later costs
+    no second pass over it, and the optimizer knows the true size.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -22,7 +22,7 @@ def random_points(seed, n, dim):
     return [tuple(rng.gauss(5 * (i % 3), 1) for _ in range(dim)) for i in range(n)]
 
 
-@pytest.mark.parametrize("k", [3, 300])  # spelled out, and with a higher-order function
+@pytest.mark.parametrize("k", [3, 300])
 def test_assign(spark, k):
     points = random_points(1, 60, 2)
     model = kmeans.random_centres(k, 2, seed=4)
@@ -68,6 +68,12 @@ def test_dying_cluster_is_replaced(spark):
         assert all(math.isclose(a, b, rel_tol=1e-9) for a, b in zip(mine, other))
 
 
+def test_assign_ties_and_missing(spark):
+    model = kmeans.KMeansModel(((1.0,), (1.0,), (0.0,)), (0.0,) * 3)
+    frame = spark.createDataFrame([([1.0],), (None,), ([-2.0],)], "features ARRAY<DOUBLE>")
+    assert [r["cluster"] for r in kmeans.assign(frame, model).collect()] == [0, None, 2]
+
+
 def test_empty_batch_changes_nothing(spark):
     start = kmeans.KMeansModel(((0.0,), (1.0,)), (2.0, 3.0))
     assert kmeans.update(start, spark.createDataFrame([], "features ARRAY<DOUBLE>")) == start
