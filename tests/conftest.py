@@ -14,7 +14,7 @@ def spark(tmp_path_factory):
     builder = SparkSession.builder.master("local[8]").appName("tests")
     settings = {
         **DEFAULTS,
-        "spark.sql.shuffle.partitions": "4",
+        "spark.sql.shuffle.partitions": "2",
         "spark.driver.memory": "6g",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
