@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.access_log import FAILURE, SUCCESS
-from millrace.operators.sliding import every_slide, sliding_intervals, step_counts
+from millrace.operators.sliding import clip, every_slide, sliding_intervals, step_counts
 from millrace.operators.timeline import DAY, floor_to, prefix_scan
 from millrace.session import staged
 
@@ -94,11 +94,13 @@ def window_status(
     max_ratio: float = MAX_RATIO,
     max_silence: int = MAX_SILENCE,
     chunk: int = DAY,
+    after: int | None = None,
     until: int | None = None,
 ) -> DataFrame:
     """Totals, ratio and state for every window end between the first and the last line.
 
-    ``overdue`` marks windows that have been empty for longer than ``max_silence`` seconds.
+    ``overdue`` marks windows that have been empty for longer than ``max_silence`` seconds.  With
+    ``after`` and ``until`` only window ends in between are given, and silence is reported up to there.
     """
     busy = sliding_intervals(steps, [], window, slide, ["success", "failure"]).select(
         "from_t", "until_t", F.lit(None).cast("bigint").alias("last_seen_t"), "n", "success", "failure"
@@ -114,7 +116,7 @@ def window_status(
         .withColumn("state", window_state(F.col("ratio"), F.col("n"), max_ratio))
     )
     overdue = F.coalesce(F.col("window_end") - F.col("last_seen_t") > max_silence, F.lit(False))
-    return every_slide(judged, slide).withColumn("overdue", overdue).drop("last_seen_t")
+    return every_slide(clip(judged, after, until, slide), slide).withColumn("overdue", overdue).drop("last_seen_t")
 
 
 def ratio_candidates(status: DataFrame) -> DataFrame:

@@ -91,6 +91,13 @@ def sliding_intervals(
     ).where("n > 0")
 
 
+def clip(intervals: DataFrame, after: int | None = None, until: int | None = None, slide: int = 1) -> DataFrame:
+    """Only the window ends later than ``after`` and not later than ``until``, still as stretches."""
+    low = F.col("from_t") if after is None else F.greatest(F.col("from_t"), F.lit(after + slide))
+    high = F.col("until_t") if until is None else F.least(F.col("until_t"), F.lit(until + slide))
+    return intervals.withColumns({"from_t": low, "until_t": high}).where("from_t < until_t")
+
+
 def every_slide(intervals: DataFrame, slide: int = 1) -> DataFrame:
     """One row per window end out of stretches."""
     others = [c for c in intervals.columns if c not in ("from_t", "until_t", "part")]
@@ -140,11 +147,10 @@ def top_k_sliding(
 ) -> DataFrame:
     """The ``k`` most frequent keys of every window: ``window_end, rank, <by>, n``.
 
-    Before stretches become one row per slide, keys that cannot rank are left out, exactly: within
+    Before stretches become one row per slide, those that cannot rank are left out, exactly: within
     a block of time, a key that stays at ``m`` or above in all windows of the block has ``m`` as
     its floor.  With the k-th largest floor as the mark, at least ``k`` keys reach the mark in
-    every window of the block, so a key whose peak in the block lies below it is never among the
-    first ``k``.
+    every window of the block, so a stretch below the mark is never among the first ``k``.
     """
     by = list(by)
     block = max(-(-block // slide), 1) * slide
@@ -162,26 +168,16 @@ def top_k_sliding(
         F.least(F.col("until_t"), F.col("block") + block).alias("until_t"),
         "n",
     )
-    in_block = Window.partitionBy(*by, "part", "block")
-    whole = F.sum(F.col("until_t") - F.col("from_t")).over(in_block) == block
-    bounded = cut.select(
-        "*",
-        F.max("n").over(in_block).alias("peak"),
-        F.when(whole, F.min("n").over(in_block)).otherwise(F.lit(0)).alias("floor"),
-        F.row_number().over(in_block.orderBy("from_t")).alias("piece"),
-    )
-    by_floor = Window.partitionBy("block").orderBy(F.desc("floor"))
+    whole = F.sum(F.col("until_t") - F.col("from_t")) == block
+    floors = cut.groupBy(*by, "part", "block").agg(F.when(whole, F.min("n")).otherwise(F.lit(0)).alias("floor"))
     marks = (
-        bounded.where("piece = 1")
-        .select("block", "floor")
-        .withColumn("r", F.row_number().over(by_floor))
-        .where(F.col("r") <= k)
+        top_k_rows(floors, ["block"], k, "floor")
         .groupBy("block")
-        .agg(F.max_by("floor", "r").alias("mark"), F.max("r").alias("keys"))
+        .agg(F.min("floor").alias("mark"), F.count("*").alias("keys"))
         .where(F.col("keys") == k)
         .select("block", "mark")
     )
-    able = bounded.join(marks, "block", "left").where(F.col("mark").isNull() | (F.col("peak") >= F.col("mark")))
+    able = cut.join(marks, "block", "left").where(F.col("mark").isNull() | (F.col("n") >= F.col("mark")))
     slides = every_slide(able.select(*by, "from_t", "until_t", "n"), slide)
     return top_k_rows(slides, ["window_end"], k, "n", *by).select("window_end", "rank", *by, "n")
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators import alarms as al
-from millrace.operators.sliding import every_slide, sliding_intervals, top_k_rows
+from millrace.operators.sliding import clip, every_slide, sliding_intervals, top_k_rows
 from millrace.streaming.versions import VersionedTable
 
 
@@ -72,9 +72,9 @@ class SlidingBatches:
         self.state, self.by, self.use = state.rstrip("/"), dict(by), use
         self.window, self.slide, self.measures = window, slide, tuple(measures)
 
-    def windows(self, steps: DataFrame, until: int) -> DataFrame:
+    def windows(self, steps: DataFrame, after: int | None, until: int) -> DataFrame:
         intervals = sliding_intervals(steps, list(self.by), self.window, self.slide, self.measures)
-        return every_slide(intervals, self.slide)
+        return every_slide(clip(intervals, after, until, self.slide), self.slide)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -90,10 +90,7 @@ class SlidingBatches:
             mark = marks.before(batch_id).first()
             until = newest + self.slide
             steps = carried.before(batch_id).unionByName(batch)
-            windows = self.windows(steps, until).where(F.col("window_end") <= until)
-            if mark:
-                windows = windows.where(F.col("window_end") > mark["until"])
-            self.use(windows, batch_id)
+            self.use(self.windows(steps, mark["until"] if mark else None, until), batch_id)
             # the last step with events stays too, to measure silence from
             seen = steps.where("n > 0").agg(F.max("step")).scalar()
             recent = (F.col("step") >= until - self.window) | (F.col("step") == seen)
@@ -135,10 +132,10 @@ class AlarmBatches(SlidingBatches):
         self.status_out, self.alarm_out = status_out, alarm_out
         self.min_total, self.max_ratio, self.max_silence, self.pause = min_total, max_ratio, max_silence, pause
 
-    def windows(self, steps: DataFrame, until: int) -> DataFrame:
+    def windows(self, steps: DataFrame, after: int | None, until: int) -> DataFrame:
         return al.window_status(
-            steps.where("n > 0"), self.window, self.slide, self.min_total, self.max_ratio,
-            max_silence=self.max_silence, until=until,
+            steps.where("n > 0"), self.window, self.slide, self.min_total, self.max_ratio, self.max_silence,
+            after=after, until=until,
         )
 
     def judge(self, windows: DataFrame, batch_id: int) -> None:
