@@ -32,6 +32,11 @@ def stream_socket(spark: SparkSession, host: str, port: int) -> DataFrame:
     )
 
 
+def arriving(lines: DataFrame, column: str = "arrived") -> DataFrame:
+    """Lines with the time of the batch that takes them in, for jobs over arrival time."""
+    return lines.withColumn(column, F.current_timestamp())
+
+
 def stream_pair(
     spark: SparkSession, train_path: str, test_path: str, max_files_per_trigger: int | None = None
 ) -> tuple[DataFrame, DataFrame]:

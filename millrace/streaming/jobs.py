@@ -116,10 +116,11 @@ def requests_to_sql(
 
 def visitor_sessions(
     hits: DataFrame, state: str, closed_out: str, open_out: str, checkpoint: str, interval: str | None = "1 second",
-    **settings,
+    show: bool = False, **settings,
 ) -> StreamingQuery:
-    """Closed sessions, and after every batch all that are open."""
-    sink = SessionBatches(state, sinks.ParquetBatches(closed_out), sinks.ParquetBatches(open_out), **settings)
+    """Closed sessions, and after every batch all that are open, which can also be asked in SQL and shown."""
+    snapshot = sinks.SqlBatches("SELECT * FROM sessionData", "sessionData", open_out, show=show)
+    sink = SessionBatches(state, sinks.ParquetBatches(closed_out), snapshot, **settings)
     return for_each_batch(hits, sink, checkpoint, interval)
 
 

@@ -22,7 +22,8 @@ class SessionBatches:
     """``out(closed, batch id)`` gets the sessions that ended, ``snapshot(open, batch id)`` those still open.
 
     A session ends once a hit more than the gap and ``delay_seconds`` later has been seen, from any
-    visitor.  Hits that come later than that start a session of their own.
+    visitor.  Hits that come later than that start a session of their own.  ``seq`` orders hits of the
+    same time; without it, they keep the order in which the batch holds them.
     """
 
     def __init__(
@@ -33,14 +34,15 @@ class SessionBatches:
         key: str = "ip",
         kind: str = "STRING",
         ts: str = "ts",
-        seq: str = "seq",
+        seq: str | None = None,
         item: str = "url",
         gap_seconds: int = 1800,
         keep: int = 10,
         delay_seconds: int = 10,
     ):
         self.state, self.out, self.snapshot = state.rstrip("/"), out, snapshot
-        self.key, self.ts, self.seq, self.item = key, ts, seq, item
+        self.key, self.ts, self.seq, self.item = key, ts, seq or "seq", item
+        self.numbered = seq is not None
         self.gap, self.keep, self.delay = gap_seconds, keep, delay_seconds
         self.schema = (
             f"{key} {kind}, piece BIGINT, n BIGINT, first_at BIGINT, last_at BIGINT, "
@@ -51,6 +53,8 @@ class SessionBatches:
         spark, gap = batch.sparkSession, self.gap * 1_000_000
         carried = VersionedTable(spark, f"{self.state}/open", self.schema)
         clock = VersionedTable(spark, f"{self.state}/clock", "at BIGINT")
+        if not self.numbered:
+            batch = batch.withColumn(self.seq, F.monotonically_increasing_id())
         batch = batch.persist()
         try:
             newest = batch.agg(F.max(F.unix_micros(F.col(self.ts).cast("timestamp"))).alias("at")).first()["at"]

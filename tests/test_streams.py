@@ -353,3 +353,23 @@ def test_line_stream(spark, tmp_path):
     finish(jobs.score_line(test, f"{tmp_path}/model", f"{tmp_path}/out", f"{tmp_path}/cp2", version=2, interval=None))
     scored = {r["label"]: r["prediction"] for r in spark.read.parquet(f"{tmp_path}/out").collect()}
     assert scored == {0.1: model.intercept, -0.4: model.slope + model.intercept}
+
+
+def test_visitors_from_raw_lines(spark, folders, log, tmp_path, capfd):
+    hits = logs.visitor_hits(lines.arriving(lines.stream_lines(spark, folders["text"], 2)))
+    finish(
+        jobs.visitor_sessions(
+            hits, f"{tmp_path}/state", f"{tmp_path}/closed", f"{tmp_path}/open", f"{tmp_path}/cp", interval=None,
+            show=True, ts="arrived",
+        )
+    )
+    newest = spark.read.parquet(f"{tmp_path}/open").where("batch_id = 1")
+    wanted = logs.visitor_hits(log).groupBy("ip").agg(F.count("*").alias("session_length"))
+    assert rows_of(newest.select("ip", "session_length")) == rows_of(wanted)
+    assert newest.agg(F.max(F.size("clickstream"))).first()[0] == 10
+    assert "clickstream" in capfd.readouterr().out
+
+
+def test_complete_console(spark, folders, tmp_path):
+    frame = jobs.status_windows(lines.stream_lines(spark, folders["text"]))
+    finish(runner.to_console(frame, f"{tmp_path}/cp", interval=None, mode="complete", rows=20))
