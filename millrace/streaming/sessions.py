@@ -86,7 +86,9 @@ class SessionProcessor(StatefulProcessor):
 
     ``each_hit`` answers every hit; otherwise each batch gives the visitor's latest state once.  Rows
     with ``closed`` set report a session that ended.  The rows of a batch are put in time order and
-    cut at gaps here, because timers fire only between batches.
+    cut at gaps here, because timers fire only between batches.  The hits of one visitor in one batch are
+    held in memory for that, so bound the batch at its source (``maxFilesPerTrigger``); where a single
+    visitor may be huge, ``SessionBatches`` is the form to use.
     """
 
     def __init__(self, ts: str = "ts", seq: str = "seq", item: str = "url", gap_seconds: int = 1800, keep: int = 10,

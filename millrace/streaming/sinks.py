@@ -101,25 +101,21 @@ class RunningLengths:
     Takes batches with a ``length`` column; empty batches leave no row.
     """
 
-    SCHEMA = (
-        "batch_id BIGINT, total_posts BIGINT, total_chars BIGINT, average BIGINT, batch_max BIGINT, max_so_far BIGINT"
-    )
+    TOTALS = "posts BIGINT, chars BIGINT, top BIGINT"
+    ROW = "total_posts BIGINT, total_chars BIGINT, average BIGINT, batch_max BIGINT, max_so_far BIGINT"
 
     def __init__(self, out: str):
         self.out = out
 
-    def table(self, spark) -> VersionedTable:
-        return VersionedTable(spark, self.out, self.SCHEMA, keep=None)
-
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        table = self.table(spark)
+        totals = VersionedTable(spark, f"{self.out.rstrip('/')}/_totals", self.TOTALS)
         new = batch.agg(F.count("*").alias("posts"), F.sum("length").alias("chars"), F.max("length").alias("top")).first()
         if not new["posts"]:
             return
-        old = table.before(batch_id).first()
-        posts = new["posts"] + (old["total_posts"] if old else 0)
-        chars = new["chars"] + (old["total_chars"] if old else 0)
-        top = max(new["top"], old["max_so_far"] if old else 0)
-        row = (batch_id, posts, chars, chars // posts, new["top"], top)
-        table.write(batch_id, spark.createDataFrame([row], self.SCHEMA))
+        old = totals.before(batch_id).first() or {"posts": 0, "chars": 0, "top": 0}
+        posts, chars = old["posts"] + new["posts"], old["chars"] + new["chars"]
+        top = max(old["top"], new["top"])
+        row = spark.createDataFrame([(posts, chars, chars // posts, new["top"], top)], self.ROW)
+        row.write.mode("overwrite").parquet(batch_folder(self.out, batch_id))
+        totals.write(batch_id, spark.createDataFrame([(posts, chars, top)], self.TOTALS))

@@ -23,16 +23,25 @@ class VersionedTable:
         root = path(self.path)
         return path, root, root.getFileSystem(self.spark._jsc.hadoopConfiguration())
 
-    def versions(self) -> list[int]:
+    def _numbers(self) -> list[int]:
         path, root, files = self._files()
         if not files.exists(root):
             return []
-        found = []
-        for status in files.listStatus(root):
-            name = status.getPath().getName()
-            if name.startswith("v=") and files.exists(path(status.getPath(), "_SUCCESS")):
-                found.append(int(name[2:]))
-        return sorted(found)
+        names = [status.getPath().getName() for status in files.listStatus(root)]
+        return sorted((int(name[2:]) for name in names if name.startswith("v=")), reverse=True)
+
+    def _complete(self, version: int) -> bool:
+        path, _, files = self._files()
+        return files.exists(path(self._folder(version), "_SUCCESS"))
+
+    def _newest(self, older_than: int | None = None) -> DataFrame:
+        for version in self._numbers():
+            if (older_than is None or version < older_than) and self._complete(version):
+                return self.read(version)
+        return self.empty()
+
+    def versions(self) -> list[int]:
+        return sorted(v for v in self._numbers() if self._complete(v))
 
     def read(self, version: int) -> DataFrame:
         return self.spark.read.schema(self.schema).parquet(self._folder(version))
@@ -42,23 +51,14 @@ class VersionedTable:
 
     def before(self, batch_id: int) -> DataFrame:
         """The newest version older than the batch, empty at the start."""
-        older = [v for v in self.versions() if v < batch_id]
-        return self.read(older[-1]) if older else self.empty()
+        return self._newest(batch_id)
 
     def latest(self) -> DataFrame:
-        found = self.versions()
-        return self.read(found[-1]) if found else self.empty()
-
-    def all(self) -> DataFrame:
-        """Every kept version, as one table."""
-        found = self.versions()
-        if not found:
-            return self.empty()
-        return self.spark.read.schema(self.schema).parquet(*[self._folder(v) for v in found])
+        return self._newest()
 
     def write(self, batch_id: int, df: DataFrame) -> None:
         df.write.mode("overwrite").parquet(self._folder(batch_id))
         if self.keep is not None:
             path, _, files = self._files()
-            for old in [v for v in self.versions() if v < batch_id][: -self.keep]:
+            for old in [v for v in self._numbers() if v < batch_id][self.keep :]:
                 files.delete(path(self._folder(old)), True)
