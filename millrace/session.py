@@ -43,17 +43,20 @@ def use_rocksdb_state(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_local_base: str | None = None
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder below the shared folder named in ``spark.checkpoint.dir``.
 
     Only where that setting is missing (local tests) a local folder is made and remembered.
     """
+    global _local_base
     base = spark.conf.get("spark.checkpoint.dir", None)
+    base = base or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not base:
-        base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not base:
-        base = tempfile.mkdtemp(prefix="millrace-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        _local_base = _local_base or tempfile.mkdtemp(prefix="millrace-")
+        base = _local_base
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
