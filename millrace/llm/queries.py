@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import mixing, sharding
+from millrace.llm import language, mixing, sharding, toxicity
+from millrace.llm.common import remainder
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -32,9 +33,25 @@ def op3_reshard(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    model = language.train(docs)
+    held = docs.select("doc_id", (remainder("doc_id", 3) == 1).alias("held_out"), "text")
+    return language.identify(held, model).drop("text")
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    model = toxicity.train(docs, read(spark, sf_dir, "labels"))
+    held = docs.select("doc_id", (remainder("doc_id", 5) == 0).alias("held_out"), "text")
+    return toxicity.score(held, model).drop("text")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op3_reshard": op3_reshard,
+    "op4_language_id": op4_language_id,
+    "op7_toxicity": op7_toxicity,
 }
 
 ORACLES: dict[str, str] = {
@@ -58,7 +75,7 @@ ORACLES: dict[str, str] = {
                 CASE WHEN most / weight * open_weight <= open_words THEN most
                      ELSE weight * (SELECT open_words FROM first_open) / (SELECT open_weight FROM first_open) END AS target
             FROM l
-        , p AS (
+        ), p AS (
             SELECT doc_id, size, source_size, target, CAST(floor(target + 0.5) AS BIGINT) AS drawn,
                 CAST(coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY draw, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS before
             FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
