@@ -125,3 +125,8 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
             return stars.union(current.select(F.col("b").alias("node"), F.col("b").alias("root"))).distinct()
         seen = now
     raise RuntimeError("the components did not settle")
+
+
+def row_key(docs: DataFrame) -> tuple[Column, Column]:
+    """``k1``, ``k2``: 128 bits that stand for a row's id and text, never null; equal rows have equal keys."""
+    return F.xxhash64("doc_id", "text").alias("k1"), F.xxhash64(F.lit(1), "text", "doc_id").alias("k2")

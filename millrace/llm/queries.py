@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import language, mixing, sharding, toxicity
+from millrace.llm import decontamination, language, mixing, sharding, simhash, toxicity
 from millrace.llm.common import remainder
 
 
@@ -40,6 +40,11 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(held, model).drop("text")
 
 
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "n_item", "n_shared", "containment")
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     model = toxicity.train(docs, read(spark, sf_dir, "labels"))
@@ -47,11 +52,19 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(held, model).drop("text")
 
 
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(read(spark, sf_dir, "documents"))
+    hexadecimal = F.lpad(F.lower(F.hex("fp")), 16, "0")
+    return found.select("doc_id", hexadecimal.alias("fingerprint"), "component_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op3_reshard": op3_reshard,
     "op4_language_id": op4_language_id,
+    "op5_decontaminate": op5_decontaminate,
     "op7_toxicity": op7_toxicity,
+    "op8_simhash": op8_simhash,
 }
 
 ORACLES: dict[str, str] = {
@@ -82,4 +95,17 @@ ORACLES: dict[str, str] = {
         ) SELECT doc_id, size, source_size, target, CASE WHEN source_size = 0 THEN 0 ELSE
             drawn // source_size * size + greatest(0, least(size, drawn % source_size - before)) END AS taken FROM p
     """,
+    "op5_decontaminate": r"""
+        WITH d AS (
+            SELECT doc_id, list_filter(string_split_regex(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM documents
+        ), b AS (
+            SELECT item_id, list_filter(string_split_regex(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM benchmark
+        ), ds AS (
+            SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM d)
+        ), bs AS (
+            SELECT DISTINCT item_id, array_to_string(w[i:i + 4], ' ') AS s FROM (SELECT item_id, w, unnest(range(1, len(w) - 3)) AS i FROM b)
+        ), n AS (SELECT item_id, count(*) AS n_item FROM bs GROUP BY item_id)
+        SELECT doc_id, item_id, CAST(n_item AS INT) AS n_item, count(*) AS n_shared, count(*) / n_item AS containment
+        FROM ds JOIN bs USING (s) JOIN n USING (item_id) GROUP BY doc_id, item_id, n_item HAVING count(*) >= ceil(n_item * 0.8)
+    """,
 }
