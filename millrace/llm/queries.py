@@ -21,11 +21,11 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_reshard(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
-    out = sharding.sharded(docs, 24)
-    return out.select(
+    rows, _ = sharding.reshard(docs, 24, carry=[sharding.text_crc32(F.col("text")).alias("text_crc32")])
+    return rows.select(
         "doc_id",
         "size",
-        sharding.text_crc32(F.col("text")).alias("text_crc32"),
+        "text_crc32",
         F.lit("rows").alias("law"),
         "shard",
         "slot",

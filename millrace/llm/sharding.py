@@ -12,6 +12,8 @@ hold one row per shard or per transfer, rows are placed by distributed running c
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -97,8 +99,9 @@ def transfers(held: DataFrame, room: DataFrame, shards: int) -> DataFrame:
     return staged(stay.union(move), "transfers")
 
 
-def reshard(docs: DataFrame, shards: int, old_shard: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """(rows, transfers).  rows: ``doc_id, row_hash, size, old_shard, shard, slot``, one for each row of ``docs``.
+def reshard(docs: DataFrame, shards: int, old_shard: str | None = None, carry: Sequence[Column] = ()) -> tuple[DataFrame, DataFrame]:
+    """(rows, transfers).  rows: ``doc_id, row_hash, size, old_shard, shard, slot``, one for each row of ``docs``,
+    and the columns of ``carry``.
 
     ``old_shard`` names an integer column with the present shard; without it rows count as lying in the files
     they are read from.  Shards hold equally many rows, at most one apart; slots run from 0 without gaps.  Null
@@ -106,7 +109,7 @@ def reshard(docs: DataFrame, shards: int, old_shard: str | None = None) -> tuple
     no rows and no transfers.  Equal rows are interchangeable.
     """
     named = stored_shards(docs) if old_shard is None else docs.withColumn("old_shard", F.coalesce(F.col(old_shard).cast("int"), F.lit(0)))
-    narrow = named.select("doc_id", F.xxhash64("doc_id", "text").alias("row_hash"), (byte_count(F.col("text")) + ROW_BYTES).alias("size"), "old_shard")
+    narrow = named.select("doc_id", F.xxhash64("doc_id", "text").alias("row_hash"), (byte_count(F.col("text")) + ROW_BYTES).alias("size"), "old_shard", *carry)
     placed = staged(running(narrow, ["old_shard"], [F.col("size").desc(), F.col("row_hash"), F.col("doc_id")]), "places")
     held = staged(placed.groupBy("old_shard").agg(F.count(F.lit(1)).alias("rows")), "held")
     total = held.agg(F.floor(F.coalesce(F.sum("rows"), F.lit(0)) / shards).alias("base"))
@@ -114,7 +117,7 @@ def reshard(docs: DataFrame, shards: int, old_shard: str | None = None) -> tuple
     moves = transfers(held, capacities(held, shards, next_bytes), shards)
     arcs = moves.withColumnRenamed("slot", "first_slot")
     rows = placed.join(arcs, "old_shard").where("place >= from_place and place < to_place")
-    rows = rows.select("doc_id", "row_hash", "size", "old_shard", "shard", (F.col("first_slot") + F.col("place") - F.col("from_place")).alias("slot"))
+    rows = rows.select(*narrow.columns, "shard", (F.col("first_slot") + F.col("place") - F.col("from_place")).alias("slot"))
     return rows, moves
 
 
