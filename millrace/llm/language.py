@@ -20,7 +20,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.common import remainder, unit_hash
+from millrace.llm.common import remainder, row_key, unit_hash
+from millrace.session import staged
 
 #: Families of common language codes: fixed values.  A code that is not listed is a family of its own.
 FAMILIES = {
@@ -117,9 +118,12 @@ def train(docs: DataFrame, per_language: int = 800) -> Model | None:
     Only rows with a language, a letter in the text and an id outside the held-out third (crc32 modulo 3 is 1) are used.
     Returns None if there are none.  The counts of all rows per language set the sampling rates.
     """
-    usable = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (remainder("doc_id", 3) != 1)).select("doc_id", "lang", "text")
-    counts = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("rows"))
-    chosen = usable.join(counts, "lang").where(unit_hash("doc_id", "text") < F.lit(float(per_language)) / F.col("rows"))
+    usable = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (remainder("doc_id", 3) != 1))
+    keyed = usable.select(*row_key(docs), F.xxhash64("lang").alias("lang_hash"))
+    counts = keyed.groupBy("lang_hash").agg(F.count(F.lit(1)).alias("rows"))
+    picked = keyed.join(counts, "lang_hash").where(unit_hash("k1", "k2") < F.lit(float(per_language)) / F.col("rows"))
+    picked = staged(picked.select("k1", "k2").distinct(), "language-sample")  # keys only: texts are not shuffled by language
+    chosen = usable.select("*", *row_key(docs)).join(picked, ["k1", "k2"], "left_semi")
 
     def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
