@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import decontamination, language, mixing, sharding, simhash, toxicity
+from millrace.llm import decontamination, embeddings, language, mixing, phrases, sharding, simhash, suffixes, toxicity
 from millrace.llm.common import remainder
 
 
@@ -45,6 +45,10 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "item_id", "n_item", "n_shared", "containment")
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.without_repeats(read(spark, sf_dir, "documents"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     model = toxicity.train(docs, read(spark, sf_dir, "labels"))
@@ -58,13 +62,24 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", hexadecimal.alias("fingerprint"), "component_id")
 
 
+def op9_phrase_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.without_repeats(read(spark, sf_dir, "documents"))
+
+
+def op10_embedding_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(read(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op3_reshard": op3_reshard,
     "op4_language_id": op4_language_id,
     "op5_decontaminate": op5_decontaminate,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op7_toxicity": op7_toxicity,
     "op8_simhash": op8_simhash,
+    "op9_phrase_dedup": op9_phrase_dedup,
+    "op10_embedding_duplicates": op10_embedding_duplicates,
 }
 
 ORACLES: dict[str, str] = {
