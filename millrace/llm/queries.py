@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import decontamination, embeddings, language, mixing, phrases, sharding, simhash, suffixes, toxicity
+from millrace.llm import decontamination, embeddings, language, language_model, mixing, phrases, sharding, simhash, suffixes, toxicity
 from millrace.llm.common import remainder
 
 
@@ -19,6 +19,10 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken_words(read(spark, sf_dir, "documents"))
 
 
+def op2_score_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.score(read(spark, sf_dir, "documents"))
+
+
 def op3_reshard(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     rows, _ = sharding.reshard(docs, 24, carry=[sharding.text_crc32(F.col("text")).alias("text_crc32")])
@@ -72,6 +76,7 @@ def op10_embedding_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
+    "op2_score_texts": op2_score_texts,
     "op3_reshard": op3_reshard,
     "op4_language_id": op4_language_id,
     "op5_decontaminate": op5_decontaminate,
