@@ -130,3 +130,9 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
 def row_key(docs: DataFrame) -> tuple[Column, Column]:
     """``k1``, ``k2``: 128 bits that stand for a row's id and text, never null; equal rows have equal keys."""
     return F.xxhash64("doc_id", "text").alias("k1"), F.xxhash64(F.lit(1), "text", "doc_id").alias("k2")
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with its row key under names that no table should have."""
+    first, second = row_key(docs)
+    return docs.select("*", first.alias("_llm_k1"), second.alias("_llm_k2"))

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import row_key
+from millrace.llm.common import keyed, row_key
 from millrace.session import staged
 
 SHINGLE = 5
@@ -57,15 +57,15 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = 0.8) -> D
     """
     items = staged(benchmark.where("item_id is not null").select("item_id", plain_words(F.col("text")).alias("w")).where("size(w) > 0").distinct(), "items")
     widths = sorted(r["width"] for r in items.select(F.least(F.size("w"), F.lit(SHINGLE)).alias("width")).distinct().collect())  # five at most
-    keyed = docs.select(*row_key(docs), "doc_id", "text")
+    narrow = docs.select(*row_key(docs), "doc_id", "text")
     found = None
     for width in widths or [SHINGLE]:
         of_width = items.where(F.least(F.size("w"), F.lit(SHINGLE)) == width)
         signed = staged(signatures(of_width, width, least), "signatures")
-        shingled = keyed.select("k1", "k2", plain_words(F.col("text")).alias("w")).select("k1", "k2", F.explode(shingle_hashes(width)).alias("h"))
+        shingled = narrow.select("k1", "k2", plain_words(F.col("text")).alias("w")).select("k1", "k2", F.explode(shingle_hashes(width)).alias("h"))
         candidates = staged(shingled.join(signed, "h").select("k1", "k2", "item_id").distinct(), "candidates")
         texts = staged(of_width.select("item_id", F.array_distinct(shingle_texts(width)).alias("s")).select("item_id", F.size("s").alias("n_item"), F.explode("s").alias("shingle")), "shingles")
-        suspects = keyed.join(candidates.select("k1", "k2").distinct(), ["k1", "k2"], "left_semi").dropDuplicates(["k1", "k2"])
+        suspects = narrow.join(candidates.select("k1", "k2").distinct(), ["k1", "k2"], "left_semi").dropDuplicates(["k1", "k2"])
         pieces = suspects.select("k1", "k2", "doc_id", plain_words(F.col("text")).alias("w"))
         pieces = pieces.select("k1", "k2", "doc_id", F.explode(F.array_distinct(shingle_texts(width))).alias("shingle"))
         shared = pieces.join(texts, "shingle").groupBy("k1", "k2", "doc_id", "item_id", "n_item").agg(F.count(F.lit(1)).alias("n_shared"))
@@ -76,5 +76,5 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = 0.8) -> D
 
 def clean(docs: DataFrame, benchmark: DataFrame, least: float = 0.8) -> DataFrame:
     """The rows of ``docs`` that hold no item; others stay as they are."""
-    bad = contaminated(docs, benchmark, least).select("k1", "k2").distinct()
-    return docs.select("*", *row_key(docs)).join(bad, ["k1", "k2"], "left_anti").select(*docs.columns)
+    bad = contaminated(docs, benchmark, least).select(F.col("k1").alias("_llm_k1"), F.col("k2").alias("_llm_k2")).distinct()
+    return keyed(docs).join(bad, ["_llm_k1", "_llm_k2"], "left_anti").select(*docs.columns)

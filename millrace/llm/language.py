@@ -123,7 +123,7 @@ def train(docs: DataFrame, per_language: int = 800) -> Model | None:
     counts = keyed.groupBy("lang_hash").agg(F.count(F.lit(1)).alias("rows"))
     picked = keyed.join(counts, "lang_hash").where(unit_hash("k1", "k2") < F.lit(float(per_language)) / F.col("rows"))
     picked = staged(picked.select("k1", "k2").distinct(), "language-sample")  # keys only: texts are not shuffled by language
-    chosen = usable.select("*", *row_key(docs)).join(picked, ["k1", "k2"], "left_semi")
+    chosen = usable.select("lang", "text", *row_key(docs)).join(picked, ["k1", "k2"], "left_semi")
 
     def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

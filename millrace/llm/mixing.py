@@ -190,11 +190,13 @@ def taken_words(docs: DataFrame, **options) -> DataFrame:
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs``, each as often as the mix takes it, in the columns of ``docs``; documents stay whole."""
     _, pieces = mix(docs, whole=True, **options)
-    counts = pieces.groupBy("doc_id", "row_hash").agg(F.count(F.lit(1)).alias("_copies"))
-    tagged = docs.withColumn("row_hash", F.xxhash64("doc_id", "text"))
-    equal = tagged.groupBy("doc_id", "row_hash").agg(F.count(F.lit(1)).alias("_rows")).where("_rows > 1")
-    counts = null_safe_join(counts, equal, ["doc_id", "row_hash"], "left")
+    key = ["_llm_id", "_llm_row"]
+    named = pieces.select(F.col("doc_id").alias("_llm_id"), F.col("row_hash").alias("_llm_row"))
+    counts = named.groupBy(*key).agg(F.count(F.lit(1)).alias("_llm_copies"))
+    tagged = docs.select("*", F.col("doc_id").alias("_llm_id"), F.xxhash64("doc_id", "text").alias("_llm_row"))
+    equal = tagged.groupBy(*key).agg(F.count(F.lit(1)).alias("_llm_rows")).where("_llm_rows > 1")
+    counts = null_safe_join(counts, equal, key, "left")
     # equal rows cannot be told apart: each gets the rounded-up share of the copies of all of them
-    each = F.ceil(F.col("_copies") / F.coalesce("_rows", F.lit(1))).cast("int")
-    joined = null_safe_join(tagged, counts.select("doc_id", "row_hash", each.alias("_each")), ["doc_id", "row_hash"])
-    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_each")))).select(*docs.columns)
+    each = F.ceil(F.col("_llm_copies") / F.coalesce("_llm_rows", F.lit(1))).cast("int")
+    joined = null_safe_join(tagged, counts.select(*key, each.alias("_llm_each")), key)
+    return joined.withColumn("_llm_copy", F.explode(F.sequence(F.lit(1), F.col("_llm_each")))).select(*docs.columns)

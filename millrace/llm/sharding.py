@@ -125,12 +125,15 @@ def sharded(docs: DataFrame, shards: int, **options) -> DataFrame:
     """The rows of ``docs`` with ``shard`` and ``slot`` (and ``size``, ``old_shard``) added."""
     rows, _ = reshard(docs, shards, **options)
     # rows with the same id and text are numbered on both sides, so each gets one of the slots
-    key = ["doc_id", "row_hash", "_nth"]
-    nth = F.row_number().over(Window.partitionBy("doc_id", "row_hash").orderBy("shard", "slot"))
-    tagged = docs.withColumn("row_hash", F.xxhash64("doc_id", "text"))
-    plain = Window.partitionBy("doc_id", "row_hash").orderBy(F.lit(0))
+    key = ["_llm_id", "_llm_row", "_llm_nth"]
     names = [c for c in docs.columns if c not in ("shard", "slot", "size", "old_shard")]
-    out = null_safe_join(tagged.select(*names, "row_hash", F.row_number().over(plain).alias("_nth")), rows.withColumn("_nth", nth), key)
+    nth = F.row_number().over(Window.partitionBy("doc_id", "row_hash").orderBy("shard", "slot"))
+    numbered = rows.select(
+        F.col("doc_id").alias("_llm_id"), F.col("row_hash").alias("_llm_row"), nth.alias("_llm_nth"), "size", "old_shard", "shard", "slot"
+    )
+    tagged = docs.select(*names, F.col("doc_id").alias("_llm_id"), F.xxhash64("doc_id", "text").alias("_llm_row"))
+    plain = Window.partitionBy("_llm_id", "_llm_row").orderBy(F.lit(0))
+    out = null_safe_join(tagged.withColumn("_llm_nth", F.row_number().over(plain)), numbered, key)
     return out.select(*names, "size", "old_shard", "shard", "slot")
 
 

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.common import components, row_key
+from millrace.llm.common import components, keyed, row_key
 from millrace.session import staged
 
 SHINGLE_SEED = 42
@@ -133,6 +133,6 @@ def keep_one(docs: DataFrame, bits: int = 2) -> DataFrame:
         F.struct(F.lit(1).alias("kind"), F.col("fp").alias("of"))
     )
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "k1", "k2")
-    kept = found.groupBy(group.alias("g")).agg(F.min(order).alias("first")).select("first.k1", "first.k2").distinct()
-    keyed = docs.select("*", *row_key(docs))
-    return keyed.join(kept, ["k1", "k2"], "left_semi").dropDuplicates(["k1", "k2"]).select(*docs.columns)
+    kept = found.groupBy(group.alias("g")).agg(F.min(order).alias("first")).select(F.col("first.k1").alias("_llm_k1"), F.col("first.k2").alias("_llm_k2")).distinct()
+    key = ["_llm_k1", "_llm_k2"]
+    return keyed(docs).join(kept, key, "left_semi").dropDuplicates(key).select(*docs.columns)
