@@ -43,9 +43,10 @@ def assign(points: DataFrame, model: KMeansModel, features: str = "features") ->
 
 def batch_sums(points: DataFrame, model: KMeansModel, features: str = "features") -> DataFrame:
     """``(cluster, n, total)`` for the batch: at most ``k`` rows, summed before the shuffle."""
-    totals = F.expr("array(" + ", ".join(f"sum(`{features}`[{i}])" for i in range(model.dim)) + ")")
+    totals = F.expr("array(" + ", ".join(f"sum(get(`{features}`, {i}))" for i in range(model.dim)) + ")")
     return (
         assign(points.select(features), model, features)
+        .where("cluster IS NOT NULL")  # vectors of another length belong nowhere
         .groupBy("cluster")
         .agg(F.count("*").alias("n"), totals.alias("total"))
     )

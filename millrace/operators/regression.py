@@ -7,6 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.functions.vectors import number
+
 # First step size, number of gradient steps, change below which steps end, and the
 # intercept every batch starts from.
 STEP_SIZE, ITERATIONS, TOLERANCE = 0.1, 50, 1e-3
@@ -43,14 +45,14 @@ def sgd_line(
 
     Steps end early once the model moves by less than ``tolerance`` of its own length.
     """
-    w_next = f"m.w - {step_size}D / sqrt(i) * (m.w * sxx + m.b * sx - sxy) / n"
-    b_next = f"m.b - {step_size}D / sqrt(i) * (m.w * sx + m.b * n - sy) / n"
+    w_next = f"m.w - {number(step_size)} / sqrt(i) * (m.w * sxx + m.b * sx - sxy) / n"
+    b_next = f"m.b - {number(step_size)} / sqrt(i) * (m.w * sx + m.b * n - sy) / n"
     # a one-element transform names the new values, so that they are written once
     step = f"""element_at(transform(array(struct({w_next} AS w, {b_next} AS b)),
         v -> struct(v.w AS w, v.b AS b, i > 1 AND sqrt(pow(v.w - m.w, 2) + pow(v.b - m.b, 2))
-            < {tolerance}D * greatest(sqrt(v.w * v.w + v.b * v.b), 1D) AS done)), 1)"""
+            < {number(tolerance)} * greatest(sqrt(v.w * v.w + v.b * v.b), 1D) AS done)), 1)"""
     fitted = f"""aggregate(sequence(1, {iterations}),
-        struct({slope}D AS w, {intercept}D AS b, false AS done),
+        struct({number(slope)} AS w, {number(intercept)} AS b, false AS done),
         (m, i) -> if(m.done, m, {step}))"""
     return sums.where("n > 0").select(F.expr(fitted).alias("m")).select(
         F.col("m.w").alias("slope"), F.col("m.b").alias("intercept")

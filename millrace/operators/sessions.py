@@ -68,8 +68,10 @@ def join_pieces(pieces: DataFrame, key: str, gap_seconds: int = 1800, keep: int
     starts = F.when(silence <= gap_seconds * 1_000_000, F.lit(0)).otherwise(F.lit(1))
     numbered = whole.withColumn("starts", starts).withColumn("session", F.sum("starts").over(line))
     earlier = Window.partitionBy(key, "session").orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
-    # a piece can hold first items only while fewer than ``keep`` hits precede it: at most ``keep`` do
-    needed = F.coalesce(F.sum("n").over(earlier), F.lit(0)) < keep
+    # a piece can hold first items only while fewer than ``keep`` hits precede it; a session carried along reaches
+    # past its piece, and its hits need not precede those of the pieces inside its span
+    within = F.when(F.col("last_at") < F.col("piece") + gap_seconds * 1_000_000, F.col("n")).otherwise(F.lit(0))
+    needed = F.coalesce(F.sum(within).over(earlier), F.lit(0)) < keep
     trimmed = numbered.withColumn("items", F.when(needed, F.col("items")))
     found = trimmed.groupBy(key, "session").agg(
         F.min("first_at").alias("first_at"),

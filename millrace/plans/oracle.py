@@ -103,8 +103,9 @@ _SNAPSHOT = """
 SELECT k AS user_id, start_us, last_us, session_length, clicks FROM (
     SELECT *, row_number() OVER (PARTITION BY k ORDER BY start_us DESC) AS r FROM found) WHERE r = 1"""
 
-_STATUS = f"""WITH RECURSIVE {_PARSED},
-base AS (SELECT t, class FROM urls WHERE t < {GAP[0]} OR t >= {GAP[1]}),
+def _status(rows: str = "true") -> str:
+    return f"""WITH RECURSIVE {_PARSED},
+base AS (SELECT t, class FROM urls WHERE {rows}),
 per_second AS (
     SELECT t, count(*) AS c, count(*) FILTER (class = 'Success') AS s, count(*) FILTER (class = 'Failure') AS f
     FROM base GROUP BY t),
@@ -123,6 +124,9 @@ seen AS (
 silent AS (SELECT window_end, 'no_data' AS kind FROM seen WHERE n = 0 AND window_end - last_seen > 30)"""
 
 
+_STATUS, _GAP_STATUS = _status(), _status(f"t < {GAP[0]} OR t >= {GAP[1]}")
+
+
 def _alarms(bound: str) -> str:
     return f""",
 due AS (SELECT window_end, 'error_ratio' AS kind FROM rated WHERE ratio > {bound} UNION ALL SELECT * FROM silent),
@@ -133,6 +137,10 @@ sent(window_end) AS (
     FROM sent s WHERE s.window_end IS NOT NULL)"""
 
 
+_FATES = """
+SELECT window_end, kind, CASE WHEN window_end IN (SELECT window_end FROM sent WHERE window_end IS NOT NULL)
+    THEN 'issued' ELSE 'suppressed' END AS action FROM due"""
+
 _CENTRES = """WITH centres AS (
     SELECT label % 5 AS g, arg_min(embedding::DOUBLE[], vec_id) AS c FROM embeddings GROUP BY ALL),
 ranked_centres AS (SELECT (row_number() OVER (ORDER BY g) - 1)::INT AS cluster, c FROM centres),
@@ -196,12 +204,22 @@ SELECT url, min(window_end) AS from_t, max(window_end) + 1 AS until_t, any_value
     "top_referrers": f"WITH {_PARSED}"
     + _sliding("urls", "CASE WHEN matched THEN referer ELSE '()' END", "referer")
     + _top("referer"),
+    "leading_urls": _URL_SLIDES + _top("url", 2),
+    "leading_agents": f"WITH {_PARSED}"
+    + _sliding("urls", "CASE WHEN matched THEN agent ELSE '()' END", "agent")
+    + _top("agent", 3),
+    "leading_referrer": f"WITH {_PARSED}"
+    + _sliding("urls", "CASE WHEN matched THEN referer ELSE '()' END", "referer")
+    + _top("referer", 1),
     "trending_terms": f"WITH {_TERMS}" + _sliding("terms", "term", "term", 600) + _top("term"),
     "word_count": f"WITH {_WORDS} SELECT word, count(*) AS n FROM words GROUP BY word",
     "top_words": f"WITH {_WORDS} SELECT word, count(*) AS n FROM words GROUP BY word ORDER BY n DESC, word LIMIT 20",
     "print_batches": f"""WITH {_POSTS}
 SELECT t AS batch, id, text, rank FROM (
     SELECT *, row_number() OVER (PARTITION BY t ORDER BY id)::INT AS rank FROM posts) WHERE rank <= 10""",
+    "first_posts": f"""WITH {_POSTS}
+SELECT t AS batch, id, text, rank FROM (
+    SELECT *, row_number() OVER (PARTITION BY t ORDER BY id)::INT AS rank FROM posts) WHERE rank <= 2""",
     "text_lengths": """
 SELECT doc_id, length(text) + len(regexp_extract_all(text, '[\\x{10000}-\\x{10FFFF}]')) AS units,
     length(text) AS points FROM documents""",
@@ -236,15 +254,12 @@ SELECT id, text FROM posts WHERE t IN (SELECT t FROM r WHERE before <= 1000)""",
 SELECT window_end, n, success, failure, coalesce(round(ratio, 9), -1) AS ratio,
     CASE WHEN n = 0 THEN 'empty' WHEN ratio IS NULL THEN 'too_few' WHEN ratio > 0.5 THEN 'alarm' ELSE 'ok' END AS state
 FROM rated""",
-    "no_data_alarms": _STATUS + " SELECT * FROM silent",
+    "no_data_alarms": _GAP_STATUS + " SELECT * FROM silent",
     "alarms_issued": _STATUS
     + _alarms("0.5::DOUBLE")
     + " SELECT window_end, kind FROM due WHERE window_end IN (SELECT window_end FROM sent WHERE window_end IS NOT NULL)",
-    "alarm_log": _STATUS
-    + _alarms("1.0::DOUBLE / 3.0::DOUBLE")
-    + """
-SELECT window_end, kind, CASE WHEN window_end IN (SELECT window_end FROM sent WHERE window_end IS NOT NULL)
-    THEN 'issued' ELSE 'suppressed' END AS action FROM due""",
+    "alarm_log": _STATUS + _alarms("1.0::DOUBLE / 3.0::DOUBLE") + _FATES,
+    "alarm_log_with_silence": _GAP_STATUS + _alarms("1.0::DOUBLE / 3.0::DOUBLE") + _FATES,
     "kmeans_assign": _CENTRES + " SELECT vec_id, label, cluster FROM assigned",
     "kmeans_agreement": _CENTRES + " SELECT label, cluster, count(*) AS n FROM assigned GROUP BY ALL",
     "kmeans_step": _CENTRES
@@ -281,16 +296,13 @@ SELECT count(*)::DOUBLE AS n, round(sum(x * x), 5) + 0.0 AS sxx, round(sum(x * y
 }
 
 
-# A stream reports windows up to the end of its last finished second: the last but one with rows.
-_FINISHED = " AND window_end <= (SELECT max(t) + 1 FROM per_second WHERE t < (SELECT max(t) FROM per_second))"
-
 _ORACLE |= {
     "stream_status_by_window": _ORACLE["status_by_window"],
     "stream_total_lengths": _ORACLE["total_lengths"],
-    "stream_top_urls": _ORACLE["top_urls"] + _FINISHED,
-    "stream_trending_terms": _ORACLE["trending_terms"] + _FINISHED,
-    "stream_alarm_log": _ORACLE["alarm_log"]
-    + " WHERE window_end <= (SELECT max(t) + 1 FROM per_second WHERE t < (SELECT max(t) FROM per_second))",
+    "stream_top_urls": _ORACLE["top_urls"],
+    "stream_trending_terms": _ORACLE["trending_terms"],
+    "stream_alarm_log": _ORACLE["alarm_log"],
+    "stream_alarm_log_with_silence": _ORACLE["alarm_log_with_silence"],
     "stream_agent_counts": _ORACLE["agent_counts_sql"],
     "stream_sessions": _ORACLE["sessions_by_user"],
     "stream_kmeans": _ORACLE["kmeans_step"],

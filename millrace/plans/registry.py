@@ -176,6 +176,22 @@ def sliding_delta_points(spark, sf_dir):
     return sliding.sliding_intervals(steps, ["url"]).select("url", "from_t", "until_t", "n")
 
 
+@query
+def leading_urls(spark, sf_dir):
+    """The first two of the handful of URLs, so that the limit acts and ties are met."""
+    return jobs.top_urls(log(spark, sf_dir), k=2)
+
+
+@query
+def leading_agents(spark, sf_dir):
+    return jobs.top_agents(log(spark, sf_dir), k=3)
+
+
+@query
+def leading_referrer(spark, sf_dir):
+    return jobs.top_referrers(log(spark, sf_dir), k=1)
+
+
 @query
 def top_urls(spark, sf_dir):
     return jobs.top_urls(log(spark, sf_dir))
@@ -209,6 +225,12 @@ def top_words(spark, sf_dir):
     return words.top_words(derived.table(spark, sf_dir, "documents"))
 
 
+@query
+def first_posts(spark, sf_dir):
+    """The first two posts of every batch: most batches have more."""
+    return jobs.print_batches(posts(spark, sf_dir), 2)
+
+
 @query
 def print_batches(spark, sf_dir):
     return jobs.print_batches(posts(spark, sf_dir))
@@ -301,7 +323,7 @@ def gap_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def error_ratio(spark, sf_dir):
     """Totals, ratio and state of every window, silent ones included."""
-    steps = alarms.class_steps(logs.classified_lines(gap_log(spark, sf_dir)), "arrived")
+    steps = alarms.class_steps(logs.classified_lines(log(spark, sf_dir)), "arrived")
     status = alarms.window_status(steps).drop("overdue")
     return status.withColumn("ratio", F.coalesce(F.round("ratio", 9), F.lit(-1.0)))
 
@@ -315,13 +337,19 @@ def no_data_alarms(spark, sf_dir):
 @query
 def alarms_issued(spark, sf_dir):
     """Alarms that go out with the usual settings."""
-    found = jobs.alarm_history(gap_log(spark, sf_dir))
+    found = jobs.alarm_history(log(spark, sf_dir))
     return found.where("action = 'issued'").select("window_end", "kind")
 
 
 @query
 def alarm_log(spark, sf_dir):
     """Fate of every due alarm, with a ratio bound low enough that both kinds occur."""
+    return jobs.alarm_history(log(spark, sf_dir), max_ratio=LOW_RATIO)
+
+
+@query
+def alarm_log_with_silence(spark, sf_dir):
+    """The same for a log with ten silent minutes cut out, so that both kinds share the pause."""
     return jobs.alarm_history(gap_log(spark, sf_dir), max_ratio=LOW_RATIO)
 
 

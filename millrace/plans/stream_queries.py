@@ -51,6 +51,12 @@ def batches(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(folder).drop("batch_id")
 
 
+def ended(spark: SparkSession, running_query, sink) -> None:
+    """Waits for the end of a bounded run and has its last windows put out."""
+    running_query.awaitTermination()
+    sink.close(spark)
+
+
 @query
 def stream_status_by_window(spark, sf_dir):
     windows = jobs.status_windows(log_stream(spark, sf_dir), "10 minutes")
@@ -69,7 +75,7 @@ def stream_top_urls(spark, sf_dir):
     folder = scratch_path(spark, "top-urls")
     lines = log_stream(spark, sf_dir)
     out = f"{folder}/out"
-    jobs.top_urls(lines, f"{folder}/state", out, f"{folder}/cp", interval=None, delay="0 seconds").awaitTermination()
+    ended(spark, *jobs.top_urls(lines, f"{folder}/state", out, f"{folder}/cp", interval=None, delay=0))
     return batches(spark, out)
 
 
@@ -78,24 +84,31 @@ def stream_trending_terms(spark, sf_dir):
     folder = scratch_path(spark, "terms")
     posts = derived.posts(event_stream(spark, sf_dir))
     out = f"{folder}/out"
-    jobs.popular_terms(
-        posts, f"{folder}/state", out, f"{folder}/cp", interval=None, delay="0 seconds"
-    ).awaitTermination()
+    ended(spark, *jobs.popular_terms(posts, f"{folder}/state", out, f"{folder}/cp", interval=None, delay=0))
     return batches(spark, out)
 
 
-@query
-def stream_alarm_log(spark, sf_dir):
+def streamed_alarms(spark: SparkSession, lines: DataFrame) -> DataFrame:
     folder = scratch_path(spark, "alarms")
-    lines = derived.without_gap(log_stream(spark, sf_dir))
     out = f"{folder}/alarms"
-    jobs.watch_errors(
-        lines, f"{folder}/state", f"{folder}/status", out, f"{folder}/cp", interval=None, delay="0 seconds",
-        max_ratio=LOW_RATIO,
-    ).awaitTermination()
+    run = jobs.watch_errors(
+        lines, f"{folder}/state", f"{folder}/status", out, f"{folder}/cp", interval=None, delay=0, max_ratio=LOW_RATIO
+    )
+    ended(spark, *run)
     return batches(spark, out)
 
 
+@query
+def stream_alarm_log(spark, sf_dir):
+    return streamed_alarms(spark, log_stream(spark, sf_dir))
+
+
+@query
+def stream_alarm_log_with_silence(spark, sf_dir):
+    """Over a log with ten silent minutes cut out, which is what the no-data alarm is for."""
+    return streamed_alarms(spark, derived.without_gap(log_stream(spark, sf_dir)))
+
+
 @query
 def stream_agent_counts(spark, sf_dir):
     folder = scratch_path(spark, "agents")

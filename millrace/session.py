@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,23 +44,42 @@ def use_rocksdb_state(spark: SparkSession) -> SparkSession:
     return spark
 
 
-_local_base: str | None = None
+SHARED = "spark.checkpoint.dir"
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder below the shared folder named in ``spark.checkpoint.dir``.
+def shared_folder(spark: SparkSession) -> str | None:
+    """The folder named in ``spark.checkpoint.dir``, if it is set."""
+    return spark.conf.get(SHARED, None) or spark.sparkContext.getConf().get(SHARED, None)
+
+
+def use_local_folder(spark: SparkSession) -> SparkSession:
+    """For tests, benches and trials: names a temporary folder as the shared one where none is set.
 
-    Only where that setting is missing (local tests) a local folder is made and remembered.
+    Only a local master, whose tasks all run on this machine, gets one; anything else is left alone.
     """
-    global _local_base
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    base = base or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if not shared_folder(spark) and spark.sparkContext.master.split("[")[0] == "local":
+        spark.conf.set(SHARED, tempfile.mkdtemp(prefix="millrace-"))
+    return spark
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder below the shared folder; without one there is no place that all executors see."""
+    base = shared_folder(spark)
     if not base:
-        _local_base = _local_base or tempfile.mkdtemp(prefix="millrace-")
-        base = _local_base
+        raise RuntimeError(f"set {SHARED} to a folder that the driver and all executors share")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def clear_scratch(spark: SparkSession, frames: Iterable[DataFrame]) -> None:
+    """Deletes the folders below the shared folder that ``frames`` are read from, once they are no longer needed."""
+    base = shared_folder(spark)
+    jvm = spark.sparkContext._jvm
+    for folder in {file.rsplit("/", 1)[0] for frame in frames for file in frame.inputFiles()}:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        if base and base.split(":")[-1].rstrip("/") in folder:
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """The same rows, written once to the shared folder and read back.
 

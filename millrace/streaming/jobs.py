@@ -1,7 +1,8 @@
 """The jobs on live input.  Each starts and returns one streaming query.
 
 ``checkpoint`` is the query's own folder; what a job carries between batches lies below ``state``.
-Without an ``interval`` a query takes what is there and ends.
+Without an ``interval`` a query takes what is there and ends.  Jobs over sliding windows return their
+sink too; ``close`` puts out the windows that were still open.
 """
 
 from __future__ import annotations
@@ -18,6 +19,9 @@ from millrace.streaming import learning, sinks, windows
 from millrace.streaming.runner import for_each_batch, run_until, to_console
 from millrace.streaming.sessions import SessionBatches, session_updates
 
+#: A query over windows, and what puts out the last windows once it has ended: ``close(spark)``.
+Windows = tuple[StreamingQuery, windows.StepBatches]
+
 
 def print_posts(posts: DataFrame, checkpoint: str, interval: str | None = "1 second") -> StreamingQuery:
     """Text of each incoming post, first ten per batch."""
@@ -55,29 +59,28 @@ def post_totals(posts: DataFrame) -> DataFrame:
 
 
 def _top(rows: DataFrame, by: str, ts: str, window: int, state: str, out: str, checkpoint: str, interval, delay, k):
-    steps = windows.step_stream(rows, [by], ts, delay=delay)
-    sink = windows.top_k_batches(state, sinks.ParquetBatches(out), by, k=k, window=window)
-    return for_each_batch(steps, sink, checkpoint, interval)
+    sink = windows.top_k_batches(state, sinks.ParquetBatches(out), by, k=k, window=window, delay=delay)
+    return for_each_batch(windows.step_rows(rows, [by], ts), sink, checkpoint, interval), sink
 
 
 def popular_terms(
     posts: DataFrame, state: str, out: str, checkpoint: str, prefix: str = "$", window: int = 600, k: int = 10,
-    interval: str | None = "1 second", delay: str = "10 seconds",
-) -> StreamingQuery:
+    interval: str | None = "1 second", delay: int = 10,
+) -> Windows:
     return _top(words.terms(posts, prefix), "term", "ts", window, state, out, checkpoint, interval, delay, k)
 
 
 def top_urls(
     lines: DataFrame, state: str, out: str, checkpoint: str, arrived: str = "arrived", window: int = 300, k: int = 10,
-    interval: str | None = "1 second", delay: str = "10 seconds",
-) -> StreamingQuery:
+    interval: str | None = "1 second", delay: int = 10,
+) -> Windows:
     return _top(logs.url_requests(lines), "url", arrived, window, state, out, checkpoint, interval, delay, k)
 
 
 def top_fields(
     lines: DataFrame, field: str, state: str, out: str, checkpoint: str, arrived: str = "arrived", window: int = 300,
-    k: int = 10, interval: str | None = "1 second", delay: str = "10 seconds",
-) -> StreamingQuery:
+    k: int = 10, interval: str | None = "1 second", delay: int = 10,
+) -> Windows:
     """Top ``agent`` or ``referer`` values."""
     rows = logs.field_or_marker(lines, field)
     return _top(rows, field, arrived, window, state, out, checkpoint, interval, delay, k)
@@ -85,8 +88,8 @@ def top_fields(
 
 def watch_errors(
     lines: DataFrame, state: str, status_out: str, alarm_out: str, checkpoint: str, arrived: str = "arrived",
-    interval: str | None = "1 second", delay: str = "10 seconds", ticks: DataFrame | None = None, **settings,
-) -> StreamingQuery:
+    interval: str | None = "1 second", delay: int = 10, ticks: DataFrame | None = None, **settings,
+) -> Windows:
     """Window status and alarms.
 
     Event time stands still while no line arrives; ``ticks`` (a stream with a ``ts`` column, see
@@ -100,9 +103,11 @@ def watch_errors(
         "success": F.when(kind == SUCCESS, 1).otherwise(0),
         "failure": F.when(kind == FAILURE, 1).otherwise(0),
     }
-    steps = windows.step_stream(rows, [], "at", delay=delay, measures=measures, counted=kind.isNotNull())
-    sink = windows.AlarmBatches(state, sinks.ParquetBatches(status_out), sinks.ParquetBatches(alarm_out), **settings)
-    return for_each_batch(steps, sink, checkpoint, interval)
+    steps = windows.step_rows(rows, [], "at", measures=measures, counted=kind.isNotNull())
+    sink = windows.AlarmBatches(
+        state, sinks.ParquetBatches(status_out), sinks.ParquetBatches(alarm_out), delay=delay, **settings
+    )
+    return for_each_batch(steps, sink, checkpoint, interval), sink
 
 
 def requests_to_sql(
@@ -137,11 +142,14 @@ def status_windows(lines: DataFrame, width: str = "1 hour") -> DataFrame:
 
 def train_kmeans(
     lines: DataFrame, model: str, checkpoint: str, start: kmeans.KMeansModel, decay: float = 1.0,
-    interval: str | None = "1 second",
+    interval: str | None = "1 second", keep: int | None = None,
 ) -> StreamingQuery:
-    """Centres learnt from lines ``[a,b]``."""
-    vectors = lines.select(parse_vector(F.col("line")).alias("features")).where("features IS NOT NULL")
-    return for_each_batch(vectors, learning.KMeansTrainer(model, start, decay), checkpoint, interval)
+    """Centres learnt from lines ``[a,b]``; lines that are no such vector are counted beside the model.
+
+    ``keep`` bounds the versions kept; without it every one stays, so that scoring by a named version goes on.
+    """
+    vectors = lines.select(parse_vector(F.col("line")).alias("features"))
+    return for_each_batch(vectors, learning.KMeansTrainer(model, start, decay, keep=keep), checkpoint, interval)
 
 
 def score_kmeans(
@@ -156,16 +164,15 @@ def score_kmeans(
 
 def _points(lines: DataFrame) -> DataFrame:
     parsed = lines.select(parse_labeled(F.col("line")).alias("p"))
-    return parsed.select(F.col("p.label").alias("label"), F.get("p.features", F.lit(0)).alias("feature")).where(
-        "label IS NOT NULL AND feature IS NOT NULL"
-    )
+    return parsed.select(F.col("p.label").alias("label"), F.get("p.features", F.lit(0)).alias("feature"))
 
 
 def train_line(
-    lines: DataFrame, model: str, checkpoint: str, carry_intercept: bool = False, interval: str | None = "1 second"
+    lines: DataFrame, model: str, checkpoint: str, carry_intercept: bool = False, interval: str | None = "1 second",
+    keep: int | None = None,
 ) -> StreamingQuery:
-    """A line learnt from lines ``label,feature``."""
-    trainer = learning.LineTrainer(model, carry_intercept=carry_intercept)
+    """A line learnt from lines ``label,feature``; lines that are not are counted beside the model."""
+    trainer = learning.LineTrainer(model, carry_intercept=carry_intercept, keep=keep)
     return for_each_batch(_points(lines), trainer, checkpoint, interval)
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
@@ -12,10 +12,24 @@ from millrace.operators import kmeans, regression
 from millrace.streaming.versions import VersionedTable
 
 
+def unused_rows(spark: SparkSession, path: str) -> VersionedTable:
+    """How many rows of each batch could not be used, beside the model or output at ``path``."""
+    return VersionedTable(spark, f"{path.rstrip('/')}_unused", "rows BIGINT", keep=None)
+
+
+def report_unused(batch: DataFrame, usable: Column, path: str, batch_id: int) -> DataFrame:
+    """The usable rows; the number of others is written down, if there are any."""
+    fits = F.coalesce(usable, F.lit(False))
+    unused = batch.where(~fits).count()
+    if unused:
+        unused_rows(batch.sparkSession, path).write(batch_id, batch.sparkSession.createDataFrame([(unused,)], "rows BIGINT"))
+    return batch.where(fits)
+
+
 class KMeansStore:
     """Versions of a k-means model, one per training batch."""
 
-    def __init__(self, spark: SparkSession, path: str, keep: int | None = 100):
+    def __init__(self, spark: SparkSession, path: str, keep: int | None = None):
         schema = "centres ARRAY<ARRAY<DOUBLE>>, weights ARRAY<DOUBLE>"
         self.spark, self.table = spark, VersionedTable(spark, path, schema, keep)
 
@@ -40,11 +54,14 @@ class KMeansStore:
 class KMeansTrainer:
     """Batches with a ``features`` column move the centres; every batch leaves a version."""
 
-    def __init__(self, path: str, start: kmeans.KMeansModel, decay: float = 1.0, per_point: bool = False):
-        self.path, self.start, self.decay, self.per_point = path, start, decay, per_point
+    def __init__(
+        self, path: str, start: kmeans.KMeansModel, decay: float = 1.0, per_point: bool = False, keep: int | None = None
+    ):
+        self.path, self.start, self.decay, self.per_point, self.keep = path, start, decay, per_point, keep
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        store = KMeansStore(batch.sparkSession, self.path)
+        store = KMeansStore(batch.sparkSession, self.path, self.keep)
+        batch = report_unused(batch, (F.size("features") == self.start.dim) & ~F.exists("features", F.isnull), self.path, batch_id)
         model = store.before(batch_id) or self.start
         store.save(batch_id, kmeans.update(model, batch, decay=self.decay, per_point=self.per_point))
 
@@ -52,7 +69,7 @@ class KMeansTrainer:
 class LineStore:
     """Versions of a one-feature line, one per training batch."""
 
-    def __init__(self, spark: SparkSession, path: str, keep: int | None = 100):
+    def __init__(self, spark: SparkSession, path: str, keep: int | None = None):
         self.spark, self.table = spark, VersionedTable(spark, path, "slope DOUBLE, intercept DOUBLE", keep)
 
     @staticmethod
@@ -75,11 +92,15 @@ class LineStore:
 class LineTrainer:
     """Batches with ``label`` and ``feature`` move the line; every batch leaves a version."""
 
-    def __init__(self, path: str, start: regression.LineModel = regression.LineModel(), carry_intercept: bool = False):
-        self.path, self.start, self.carry_intercept = path, start, carry_intercept
+    def __init__(
+        self, path: str, start: regression.LineModel = regression.LineModel(), carry_intercept: bool = False,
+        keep: int | None = None,
+    ):
+        self.path, self.start, self.carry_intercept, self.keep = path, start, carry_intercept, keep
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        store = LineStore(batch.sparkSession, self.path)
+        store = LineStore(batch.sparkSession, self.path, self.keep)
+        batch = report_unused(batch, F.col("label").isNotNull() & F.col("feature").isNotNull(), self.path, batch_id)
         model = store.before(batch_id) or self.start
         store.save(batch_id, regression.update(model, batch, carry_intercept=self.carry_intercept))
 

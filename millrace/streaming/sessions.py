@@ -110,7 +110,7 @@ class SessionProcessor(StatefulProcessor):
         first, last, n, clicks, timer = self.session.get() if self.session.exists() else (None, None, 0, [], None)
         clicks = list(clicks)
         for at, _, item in hits:
-            if last is not None and at - last > self.gap_ms:
+            if last is not None and (at - last > self.gap_ms or first - at > self.gap_ms):
                 yield self._row(key, first, last, n, clicks, True)
                 first, last, n, clicks = None, None, 0, []
             first = at if first is None else min(first, at)

@@ -1,41 +1,48 @@
 """Sliding windows on a stream.
 
-Counting every event in all 300 windows that see it would multiply the state by 300.  The stream
-itself therefore only counts per slide step, and each batch of finished steps is turned into
-windows together with the steps of the last window length, which the job carries along.
+Counting every event in all 300 windows that see it would multiply the state by 300.  A batch is
+counted per slide step, and steps are turned into windows by what enters and what leaves: a job
+carries one running count per active key, the steps that no window has taken in yet, and the steps
+that have still to leave, filed by the time at which they leave.  A batch reads the running counts,
+its own steps and the files of the times it passes, so its work does not follow the window length.
+
+No row is dropped.  A row that comes after windows it belongs to were put out still counts in all
+windows that are open, and its step is written to ``<state>/late`` as well.  ``close`` puts out what
+is left when a run has ended.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.operators import alarms as al
-from millrace.operators.sliding import clip, every_slide, sliding_intervals, top_k_rows
+from millrace.operators.sliding import every_slide, top_k_rows
+from millrace.operators.timeline import floor_to, second_of
+from millrace.session import staged
 from millrace.streaming.versions import VersionedTable
 
+#: Seconds of leaving times that are filed together.
+FILED = 60
+
 
-def step_stream(
+def step_rows(
     rows: DataFrame,
     by: Sequence[str],
     ts: str,
     slide: int = 1,
-    delay: str = "10 seconds",
     measures: Mapping[str, Column] | None = None,
     counted: Column | None = None,
 ) -> DataFrame:
-    """Finished slide steps ``(<by>, step, n, measures)``; ``counted`` marks rows that count as events."""
-    measures = dict(measures or {})
+    """Rows as ``(<by>, step, n, measures)``, to be summed per batch; ``counted`` marks rows that count as events.
+
+    Rows without a time have no step; batches leave them out and count them under ``late``.
+    """
     flag = F.lit(1) if counted is None else F.when(counted, 1).otherwise(0)
-    picked = rows.select(F.col(ts).alias("_ts"), *by, flag.alias("n"), *[m.alias(k) for k, m in measures.items()])
-    return (
-        picked.withWatermark("_ts", delay)
-        .groupBy(F.window("_ts", f"{slide} seconds").alias("w"), *by)
-        .agg(*[F.sum(c).cast("bigint").alias(c) for c in ("n", *measures)])
-        .select(*by, F.unix_seconds("w.start").alias("step"), "n", *measures)
-    )
+    step = floor_to(second_of(ts), slide).alias("step")
+    return rows.select(*by, step, flag.cast("bigint").alias("n"), *[m.cast("bigint").alias(k) for k, m in (measures or {}).items()])
 
 
 def sliding_stream(
@@ -54,55 +61,145 @@ def sliding_stream(
     )
 
 
-class SlidingBatches:
-    """Finished steps in, finished windows out, through ``use(windows, batch id)``.
+class StepBatches:
+    """What keyed windows and alarms share: marks of what is finished, late rows, and closing.
 
-    A window is finished once a step that ends at or after it has been finished.
+    Windows up to the newest step minus ``delay`` seconds are finished by a batch.
     """
 
     def __init__(
         self,
         state: str,
         by: Mapping[str, str],
-        use: Callable[[DataFrame, int], None],
         window: int = 300,
         slide: int = 1,
+        delay: int = 0,
         measures: Sequence[str] = (),
     ):
-        self.state, self.by, self.use = state.rstrip("/"), dict(by), use
-        self.window, self.slide, self.measures = window, slide, tuple(measures)
+        self.state, self.by = state.rstrip("/"), dict(by)
+        self.window, self.slide, self.delay, self.measures = window, slide, delay, tuple(measures)
+        self.columns = [f"{c} {t}" for c, t in self.by.items()]
+
+    def table(self, spark: SparkSession, name: str, columns: Sequence[str], keep: int | None = 3) -> VersionedTable:
+        return VersionedTable(spark, f"{self.state}/{name}", ", ".join(columns), keep)
+
+    def marks(self, spark: SparkSession) -> VersionedTable:
+        return self.table(spark, "marks", ["until BIGINT", "newest BIGINT"])
 
-    def windows(self, steps: DataFrame, after: int | None, until: int) -> DataFrame:
-        intervals = sliding_intervals(steps, list(self.by), self.window, self.slide, self.measures)
-        return every_slide(clip(intervals, after, until, self.slide), self.slide)
+    def summed(self, rows: DataFrame) -> DataFrame:
+        return rows.groupBy(*self.by, "step").agg(*[F.sum(c).cast("bigint").alias(c) for c in ("n", *self.measures)])
+
+    def report_late(self, steps: DataFrame, until: int | None, batch_id: int) -> None:
+        """Writes steps of finished windows, and rows without a time; ``lost`` if no open window takes them."""
+        finished = F.lit(False) if until is None else F.col("step") < until
+        lost = F.col("step").isNull() if until is None else F.col("step").isNull() | (F.col("step") + self.window <= until)
+        late = steps.where(F.col("step").isNull() | finished).select(*self.by, "step", "n", lost.alias("lost"))
+        if not late.isEmpty():
+            late.write.mode("overwrite").parquet(f"{self.state}/late/batch_id={batch_id}")
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        columns = [f"{c} {t}" for c, t in self.by.items()]
-        numbers = [f"{c} BIGINT" for c in ("step", "n", *self.measures)]
-        carried = VersionedTable(spark, f"{self.state}/steps", ", ".join(columns + numbers))
-        marks = VersionedTable(spark, f"{self.state}/marks", "until BIGINT")
-        batch = batch.persist()
-        try:
-            newest = batch.agg(F.max("step").alias("s")).first()["s"]
-            if newest is None:
-                return
-            mark = marks.before(batch_id).first()
-            until = newest + self.slide
-            steps = carried.before(batch_id).unionByName(batch)
-            self.use(self.windows(steps, mark["until"] if mark else None, until), batch_id)
-            # the last step with events stays too, to measure silence from
-            seen = steps.where("n > 0").agg(F.max("step")).scalar()
-            recent = (F.col("step") >= until - self.window) | (F.col("step") == seen)
-            carried.write(batch_id, steps.where(recent))
-            marks.write(batch_id, spark.createDataFrame([(until,)], "until BIGINT"))
-        finally:
-            batch.unpersist()
+        steps = staged(self.summed(batch), "steps")
+        mark = self.marks(spark).before(batch_id).first()
+        before, newest = (mark["until"], mark["newest"]) if mark else (None, None)
+        self.report_late(steps, before, batch_id)
+        seen = steps.agg(F.max("step").alias("s")).first()["s"]
+        if seen is None:
+            return
+        newest = seen if newest is None else max(seen, newest)
+        until = floor_step(newest - self.delay, self.slide)
+        until = until if before is None else max(until, before)
+        self.advance(spark, steps.where("step IS NOT NULL"), before, until, batch_id)
+        self.marks(spark).write(batch_id, spark.createDataFrame([(until, newest)], "until BIGINT, newest BIGINT"))
+
+    def close(self, spark: SparkSession) -> None:
+        """Puts out the windows that no batch finished, as the output of the next batch.
+
+        Nothing carried changes: closing again gives the same, and a batch that comes later replaces it.
+        """
+        versions = self.marks(spark).versions()
+        if versions:
+            mark = self.marks(spark).read(versions[-1]).first()
+            self.finish(spark, mark["until"], mark["newest"], versions[-1] + 1)
+
+    def advance(self, spark: SparkSession, steps: DataFrame, before: int | None, until: int, batch_id: int) -> None:
+        raise NotImplementedError
+
+    def finish(self, spark: SparkSession, before: int, newest: int, batch_id: int) -> None:
+        raise NotImplementedError
+
+
+def floor_step(second: int, slide: int) -> int:
+    return second - second % slide
+
+
+class SlidingBatches(StepBatches):
+    """Counts per key of every finished window, through ``use(windows, batch id)``."""
+
+    def __init__(self, state: str, by: Mapping[str, str], use: Callable[[DataFrame, int], None], **settings):
+        super().__init__(state, by, **settings)
+        self.use = use
+
+    def running(self, spark: SparkSession) -> VersionedTable:
+        return self.table(spark, "running", [*self.columns, "n BIGINT"])
+
+    def ahead(self, spark: SparkSession) -> VersionedTable:
+        return self.table(spark, "ahead", [*self.columns, "step BIGINT", "n BIGINT"])
+
+    def leaving(self, spark: SparkSession, low: int | None, high: int, batch_id: int) -> DataFrame:
+        """Filed steps of earlier batches whose leaving time is in (low, high]; only the files of these times are read."""
+        schema = ", ".join([*self.columns, "step BIGINT", "n BIGINT", "batch BIGINT", "filed BIGINT"])
+        files = VersionedTable(spark, f"{self.state}/leaving", schema)
+        if low is None or not files.exists():
+            return spark.createDataFrame([], schema)
+        filed = F.col("filed").between(low // FILED, high // FILED)
+        gone = F.col("step") + self.window + self.slide
+        rows = spark.read.schema(schema).parquet(files.path).where(filed & (F.col("batch") < batch_id))
+        return rows.where((gone > low) & (gone <= high))
+
+    def levels(self, spark: SparkSession, steps: DataFrame, before: int | None, until: int, batch_id: int) -> DataFrame:
+        """Stretches ``(<by>, from_t, until_t, n)`` of window ends in (before, until], and behind them (``from_t`` > until) the state."""
+        low = until - self.window - 1 if before is None else before
+        first = F.lit(low + self.slide)
+        enter = steps.select(*self.by, F.greatest(F.col("step") + self.slide, first).alias("from_t"), "n")
+        own = steps.select(*self.by, (F.col("step") + self.window + self.slide).alias("from_t"), (-F.col("n")).alias("n"))
+        if before is None:  # the first batch may begin long before its newest step
+            enter = steps.select(*self.by, (F.col("step") + self.slide).alias("from_t"), "n")
+        held = self.running(spark).before(batch_id).select(*self.by, first.alias("from_t"), "n")
+        gone = self.leaving(spark, before, until + self.slide, batch_id)
+        gone = gone.select(*self.by, (F.col("step") + self.window + self.slide).alias("from_t"), (-F.col("n")).alias("n"))
+        edges = enter.unionByName(own).unionByName(held).unionByName(gone).where(F.col("from_t") <= until + self.slide)
+        merged = edges.groupBy(*self.by, "from_t").agg(F.sum("n").alias("n")).where("n <> 0")
+        line = Window.partitionBy(*self.by).orderBy("from_t")
+        level = F.sum("n").over(line.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        return merged.select(*self.by, "from_t", F.coalesce(F.lead("from_t").over(line), F.lit(until + 2 * self.slide)).alias("until_t"), level.alias("n"))
+
+    def advance(self, spark: SparkSession, steps: DataFrame, before: int | None, until: int, batch_id: int) -> None:
+        # a step of windows that are all finished has nothing to add
+        useful = steps if before is None else steps.where(F.col("step") + self.window > before)
+        waiting = self.ahead(spark).before(batch_id)
+        entering = staged(waiting.unionByName(useful.select(*self.by, "step", "n")), "entering")
+        now = entering.where(F.col("step") < until)
+        levels = staged(self.levels(spark, now, before, until, batch_id), "levels")
+        ends = levels.withColumn("until_t", F.least(F.col("until_t"), F.lit(until + self.slide))).where("n > 0 AND from_t < until_t")
+        self.use(every_slide(ends, self.slide), batch_id)
+        # the running count behind the last window end: steps that leave right after it are taken off already
+        state = levels.where((F.col("until_t") > until + self.slide) & (F.col("n") > 0)).select(*self.by, "n")
+        self.running(spark).write(batch_id, state)
+        self.ahead(spark).write(batch_id, entering.where(F.col("step") >= until))
+        leave = now.where(F.col("step") + self.window + self.slide > until + self.slide)
+        filed = leave.withColumn("filed", F.floor((F.col("step") + self.window + self.slide) / FILED)).withColumn("batch", F.lit(batch_id).cast("bigint"))
+        VersionedTable(spark, f"{self.state}/leaving", "").replace_parts(filed, ["filed", "batch"], batch_id, until // FILED)
+
+    def finish(self, spark: SparkSession, before: int, newest: int, batch_id: int) -> None:
+        waiting = self.ahead(spark).before(batch_id)
+        levels = self.levels(spark, waiting, before, newest + self.window + self.slide, batch_id)
+        self.use(every_slide(levels.where("n > 0 AND from_t < until_t"), self.slide), batch_id)
 
 
 def top_k_batches(
     state: str, out: Callable[[DataFrame, int], None], by: str, kind: str = "STRING", k: int = 10, window: int = 300,
-    slide: int = 1,
+    slide: int = 1, delay: int = 0,
 ) -> SlidingBatches:
     """The ``k`` most frequent keys of every finished window, handed to ``out``."""
 
@@ -110,11 +207,14 @@ def top_k_batches(
         ranked = top_k_rows(windows, ["window_end"], k, "n", by).select("window_end", "rank", by, "n")
         out(ranked, batch_id)
 
-    return SlidingBatches(state, {by: kind}, use, window, slide)
+    return SlidingBatches(state, {by: kind}, use, window=window, slide=slide, delay=delay)
+
 
+class AlarmBatches(StepBatches):
+    """Status of every finished window and the alarms due, under one pause kept across batches.
 
-class AlarmBatches(SlidingBatches):
-    """Status of every finished window and the alarms due, under one pause kept across batches."""
+    All lines of a step are one row, so the steps of a window length are carried as they are.
+    """
 
     def __init__(
         self,
@@ -123,40 +223,48 @@ class AlarmBatches(SlidingBatches):
         alarm_out: Callable[[DataFrame, int], None],
         window: int = al.WINDOW,
         slide: int = al.SLIDE,
+        delay: int = 0,
         min_total: int = al.MIN_TOTAL,
         max_ratio: float = al.MAX_RATIO,
         max_silence: int = al.MAX_SILENCE,
         pause: int = al.ALARM_PAUSE,
     ):
-        super().__init__(state, {}, self.judge, window, slide, ("success", "failure"))
+        super().__init__(state, {}, window, slide, delay, ("success", "failure"))
         self.status_out, self.alarm_out = status_out, alarm_out
         self.min_total, self.max_ratio, self.max_silence, self.pause = min_total, max_ratio, max_silence, pause
 
-    def windows(self, steps: DataFrame, after: int | None, until: int) -> DataFrame:
+    def carried(self, spark: SparkSession) -> VersionedTable:
+        return self.table(spark, "steps", [f"{c} BIGINT" for c in ("step", "n", *self.measures)])
+
+    def status(self, steps: DataFrame, after: int | None, until: int | None) -> DataFrame:
+        """Only steps before ``until`` are complete; ticks (steps without lines) count for nothing but time."""
+        lines = steps.where("n > 0") if until is None else steps.where((F.col("n") > 0) & (F.col("step") < until))
         return al.window_status(
-            steps.where("n > 0"), self.window, self.slide, self.min_total, self.max_ratio, self.max_silence,
-            after=after, until=until,
+            lines, self.window, self.slide, self.min_total, self.max_ratio, self.max_silence, after=after, until=until
         )
 
+    def advance(self, spark: SparkSession, steps: DataFrame, before: int | None, until: int, batch_id: int) -> None:
+        steps = staged(self.summed(self.carried(spark).before(batch_id).unionByName(steps)), "steps")
+        self.judge(self.status(steps, before, until), batch_id)
+        # the last step with events stays too, to measure silence from
+        seen = steps.where(F.col("n") > 0).where(F.col("step") < until).agg(F.max("step")).scalar()
+        self.carried(spark).write(batch_id, steps.where((F.col("step") >= until - self.window) | (F.col("step") == seen)))
+
+    def finish(self, spark: SparkSession, before: int, newest: int, batch_id: int) -> None:
+        self.judge(self.status(self.carried(spark).before(batch_id), before, None), batch_id)
+
     def judge(self, windows: DataFrame, batch_id: int) -> None:
         spark = windows.sparkSession
-        last = VersionedTable(spark, f"{self.state}/issued", "window_end BIGINT")
-        windows = windows.persist()
-        try:
-            self.status_out(windows.drop("overdue"), batch_id)
-            before = last.before(batch_id).first()
-            due = al.ratio_candidates(windows).unionByName(
-                windows.where("overdue").select("window_end", F.lit(al.NO_DATA).alias("kind"))
-            )
-            log = al.alarm_log(due, self.pause, free_from=before["window_end"] + self.pause + 1 if before else None)
-            log = log.persist()
-            self.alarm_out(log, batch_id)
-            newest = log.where("action = 'issued'").agg(F.max("window_end").alias("window_end"))
-            kept = newest.where("window_end IS NOT NULL")
-            if kept.isEmpty() and before:
-                kept = spark.createDataFrame([(before["window_end"],)], "window_end BIGINT")
-            if not kept.isEmpty():
-                last.write(batch_id, kept)
-            log.unpersist()
-        finally:
-            windows.unpersist()
+        last = self.table(spark, "issued", ["window_end BIGINT"])
+        windows = staged(windows, "status")
+        self.status_out(windows.drop("overdue"), batch_id)
+        before = last.before(batch_id).first()
+        due = windows.where("state = 'alarm' OR overdue").select(
+            "window_end", F.when(F.col("overdue"), F.lit(al.NO_DATA)).otherwise(F.lit(al.ERROR_RATIO)).alias("kind")
+        )
+        log = staged(al.alarm_log(due, self.pause, free_from=before["window_end"] + self.pause + 1 if before else None), "alarms")
+        self.alarm_out(log, batch_id)
+        newest = log.where("action = 'issued'").agg(F.max("window_end").alias("window_end")).first()["window_end"]
+        newest = newest if newest is not None else before["window_end"] if before else None
+        if newest is not None:
+            last.write(batch_id, spark.createDataFrame([(newest,)], "window_end BIGINT"))

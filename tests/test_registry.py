@@ -2,9 +2,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from millrace.plans.oracle import all_oracles
+from millrace.plans.registry import all_queries
 from tools.check import TABLES, table_of
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = all_queries(), all_oracles()
 
 
 @pytest.fixture(scope="module")
@@ -17,6 +19,7 @@ def con(data):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

@@ -1,5 +1,7 @@
 import os
+import random
 import shutil
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,6 +9,7 @@ from pyspark.sql import functions as F
 from millrace.operators import alarms, kmeans, logs, regression, running, sessions, sliding, words
 from millrace.sources import derived, lines, posts
 from millrace.streaming import jobs, learning, runner, sinks, windows
+from millrace.streaming.sessions import SessionBatches
 from millrace.streaming.versions import VersionedTable
 
 PARTS = 4
@@ -67,7 +70,7 @@ def finish(query):
     return query
 
 
-def in_two_runs(folder, tmp_path, start):
+def in_two_runs(folder, tmp_path, start, end=finish):
     """Run over half of the files, add the others, and resume from the checkpoint."""
     growing = f"{tmp_path}/growing"
     os.makedirs(growing)
@@ -75,17 +78,18 @@ def in_two_runs(folder, tmp_path, start):
     for part in (names[: len(names) // 2], names[len(names) // 2 :]):
         for name in part:
             shutil.copy2(f"{folder}/{name}", growing)
-        finish(start(growing))
+        end(start(growing))
 
 
 def rows_of(df):
     return sorted(map(repr, (tuple(r) for r in df.select(*sorted(df.columns)).collect())))
 
 
-def last_finished(batch_counts):
-    """End of the last step that a stream with no delay can know to be finished."""
-    steps = sorted(r["step"] for r in batch_counts.select("step").distinct().collect())
-    return steps[-2] + 1
+def finish_windows(spark, run):
+    query, sink = run
+    finish(query)
+    sink.close(spark)
+    sink.close(spark)  # closing again changes nothing
 
 
 def test_status_windows_text_source(spark, folders, log, tmp_path):
@@ -101,40 +105,37 @@ def test_top_urls_resumes(spark, folders, log, tmp_path):
     def start(folder):
         return jobs.top_urls(
             stream(spark, folder, LOG_SCHEMA), f"{tmp_path}/state", f"{tmp_path}/out", f"{tmp_path}/cp",
-            k=2, interval=None, delay="0 seconds",
+            k=2, interval=None, delay=0,
         )
 
-    in_two_runs(folders["log"], tmp_path, start)
+    in_two_runs(folders["log"], tmp_path, start, lambda run: finish_windows(spark, run))
     urls = logs.url_requests(log)
-    until = last_finished(sliding.step_counts(urls, ["url"], "arrived"))
-    wanted = sliding.top_k_sliding(urls, ["url"], "arrived", k=2).where(F.col("window_end") <= until)
+    wanted = sliding.top_k_sliding(urls, ["url"], "arrived", k=2)
     assert rows_of(spark.read.parquet(f"{tmp_path}/out").drop("batch_id")) == rows_of(wanted)
 
 
 @pytest.mark.parametrize("field", ["agent", "referer"])
 def test_top_fields(spark, folders, log, tmp_path, field):
-    finish(
+    finish_windows(
+        spark,
         jobs.top_fields(
             stream(spark, folders["log"], LOG_SCHEMA, 2), field, f"{tmp_path}/state", f"{tmp_path}/out",
-            f"{tmp_path}/cp", k=3, interval=None, delay="0 seconds",
-        )
+            f"{tmp_path}/cp", k=3, interval=None, delay=0,
+        ),
     )
     values = logs.field_or_marker(log, field)
-    until = last_finished(sliding.step_counts(values, [field], "arrived"))
-    wanted = sliding.top_k_sliding(values, [field], "arrived", k=3).where(F.col("window_end") <= until)
+    wanted = sliding.top_k_sliding(values, [field], "arrived", k=3)
     assert rows_of(spark.read.parquet(f"{tmp_path}/out").drop("batch_id")) == rows_of(wanted)
 
 
 def test_popular_terms(spark, folders, events, tmp_path):
     source = posts.stream_posts(spark, folders["posts"], max_files_per_trigger=1)
-    finish(
-        jobs.popular_terms(
-            source, f"{tmp_path}/state", f"{tmp_path}/out", f"{tmp_path}/cp", interval=None, delay="0 seconds"
-        )
+    finish_windows(
+        spark,
+        jobs.popular_terms(source, f"{tmp_path}/state", f"{tmp_path}/out", f"{tmp_path}/cp", interval=None, delay=0),
     )
     found = words.terms(derived.posts(events))
-    until = last_finished(sliding.step_counts(found, ["term"], "ts"))
-    wanted = sliding.top_k_sliding(found, ["term"], "ts", 600).where(F.col("window_end") <= until)
+    wanted = sliding.top_k_sliding(found, ["term"], "ts", 600)
     assert rows_of(spark.read.parquet(f"{tmp_path}/out").drop("batch_id")) == rows_of(wanted)
     assert posts.read_posts(spark, folders["posts"]).count() == events.count()
 
@@ -146,7 +147,8 @@ def test_chained_windows(spark, folders, log, tmp_path):
     until = got.agg(F.max("window_end")).first()[0]
     wanted = sliding.sliding_counts(logs.url_requests(log), ["url"], "arrived", 5)
     assert rows_of(got) == rows_of(wanted.where(F.col("window_end") <= until))
-    assert until >= last_finished(sliding.step_counts(logs.url_requests(log), ["url"], "arrived")) - 1
+    steps = sorted(r["step"] for r in sliding.step_counts(logs.url_requests(log), ["url"], "arrived").collect())
+    assert until >= sorted(set(steps))[-2]
 
 
 def test_alarms_resume(spark, folders, log, tmp_path):
@@ -155,17 +157,16 @@ def test_alarms_resume(spark, folders, log, tmp_path):
     def start(folder):
         return jobs.watch_errors(
             stream(spark, folder, LOG_SCHEMA), f"{tmp_path}/state", f"{tmp_path}/status", f"{tmp_path}/alarms",
-            f"{tmp_path}/cp", interval=None, delay="0 seconds", **settings,
+            f"{tmp_path}/cp", interval=None, delay=0, **settings,
         )
 
-    in_two_runs(folders["gap"], tmp_path, start)
+    in_two_runs(folders["gap"], tmp_path, start, lambda run: finish_windows(spark, run))
     classified = logs.classified_lines(derived.without_gap(log))
     steps = alarms.class_steps(classified, "arrived")
-    until = last_finished(steps)
     status = alarms.window_status(steps, **settings).drop("overdue")
     got = spark.read.parquet(f"{tmp_path}/status").drop("batch_id")
-    assert rows_of(got) == rows_of(status.where(F.col("window_end") <= until))
-    wanted = alarms.alarms(classified, "arrived", **settings).where(F.col("window_end") <= until)
+    assert rows_of(got) == rows_of(status)
+    wanted = alarms.alarms(classified, "arrived", **settings)
     assert {r["kind"] for r in wanted.collect()} == {"error_ratio", "no_data"}
     assert rows_of(spark.read.parquet(f"{tmp_path}/alarms").drop("batch_id")) == rows_of(wanted)
 
@@ -183,9 +184,9 @@ def test_ticks_reveal_silence(spark, tmp_path):
     finish(
         jobs.watch_errors(
             stream(spark, f"{tmp_path}/lines", LOG_SCHEMA), f"{tmp_path}/state", f"{tmp_path}/status",
-            f"{tmp_path}/alarms", f"{tmp_path}/cp", interval=None, delay="0 seconds",
+            f"{tmp_path}/alarms", f"{tmp_path}/cp", interval=None, delay=0,
             ticks=stream(spark, f"{tmp_path}/ticks", "ts TIMESTAMP"),
-        )
+        )[0]
     )
     sent = spark.read.parquet(f"{tmp_path}/alarms").where("action = 'issued'").orderBy("window_end").collect()
     first = base + 5 + 300 + 31
@@ -261,7 +262,11 @@ def test_save_posts(spark, folders, events, tmp_path, limit):
     # a batch that is run again replaces its own folder and does not count twice
     sink(derived.posts(events).limit(5), PARTS + 7)
     sink(derived.posts(events).limit(5), PARTS + 7)
-    assert spark.read.text(f"{tmp_path}/out").count() == saved.count() if limit == 100 else events.count() + 5
+    expected = 0 if limit == 100 else 5
+    folder = f"{tmp_path}/out/batch_id={PARTS + 7}"
+    assert (spark.read.text(folder).count() if os.path.exists(folder) else 0) == expected
+    if limit != 100:
+        assert spark.read.text(f"{tmp_path}/out").count() == events.count() + 5
 
 
 def test_save_until_stops(spark, folders, tmp_path):
@@ -293,8 +298,20 @@ def test_sql_per_batch(spark, folders, log, tmp_path, capfd):
     assert rows_of(exported) == rows_of(logs.request_records(log).select("url", "status", "agent"))
 
 
-def test_print_posts(spark, folders, tmp_path):
+def printed(capfd, last, seconds=20):
+    """What was printed up to ``last``; the other side of the session prints in its own time."""
+    shown, until = "", time.time() + seconds
+    while last not in shown and time.time() < until:
+        shown += capfd.readouterr().out
+        time.sleep(0.2)
+    assert last in shown
+    return shown
+
+
+def test_print_posts(spark, folders, tmp_path, capfd):
     finish(jobs.print_posts(posts.stream_posts(spark, folders["posts"]), f"{tmp_path}/cp", interval=None))
+    shown = printed(capfd, "only showing top 10 rows")
+    assert shown.count("|saw ") == 10
 
 
 def test_versions(spark, tmp_path):
@@ -371,6 +388,98 @@ def test_visitors_from_raw_lines(spark, folders, log, tmp_path, capfd):
     assert "clickstream" in capfd.readouterr().out
 
 
-def test_complete_console(spark, folders, tmp_path):
+def test_complete_console(spark, folders, log, tmp_path, capfd):
     frame = jobs.status_windows(lines.stream_lines(spark, folders["text"]))
     finish(runner.to_console(frame, f"{tmp_path}/cp", interval=None, mode="complete", rows=20))
+    wanted = sliding.tumbling_counts(logs.parse_access_log(log, "drop"), ["status"], "ts", "1 hour").count()
+    assert printed(capfd, "+\n\n").count("|{2024-") == min(wanted, 20)
+
+
+def counted(spark, window, parts, tmp_path, delay=0):
+    """Window counts of a job that gets ``parts``, each a list of (key, second), as batches."""
+    out = sinks.ParquetBatches(f"{tmp_path}/out")
+    sink = windows.SlidingBatches(f"{tmp_path}/state", {"k": "STRING"}, out, window=window, delay=delay)
+    for i, part in enumerate(parts):
+        batch = spark.createDataFrame([(k, s, 1) for k, s in part], "k STRING, step BIGINT, n BIGINT")
+        sink(batch, i)
+        if i == 1:
+            sink(batch, i)  # a batch that is run again changes nothing
+    sink.close(spark)
+    rows = spark.read.parquet(f"{tmp_path}/out").collect()
+    got = sorted((r["window_end"], r["k"], r["n"]) for r in rows)
+    assert len(set(r[:2] for r in got)) == len(got)
+    return got, sink
+
+
+def all_windows(rows, window):
+    ends = {(s + i, k) for k, s in rows for i in range(1, window + 1)}
+    return sorted((t, k, sum(k == k2 and t - window <= s < t for k2, s in rows)) for t, k in ends)
+
+
+@pytest.mark.parametrize("window", [7, 40])
+def test_windows_in_many_batches(spark, tmp_path, window):
+    """Uneven batches with pauses longer than a window, over filing borders: no window is lost or wrong."""
+    rng = random.Random(window)
+    seconds = sorted(rng.randint(1000, 1300) for _ in range(150)) + [1301, 1400, 1401, 1600]
+    rows = [(rng.choice("aaab"), s) for s in seconds]
+    cuts = [0, 3, 40, 41, 90, 140, 152, 153, len(rows)]
+    got, _ = counted(spark, window, [rows[a:b] for a, b in zip(cuts, cuts[1:])], tmp_path)
+    assert got == all_windows(rows, window)
+
+
+def test_late_rows_count_where_windows_are_open(spark, tmp_path):
+    parts = [[("a", 100), ("a", 110)], [("a", 104), ("b", 60), ("a", 130)]]
+    got, sink = counted(spark, 20, parts, tmp_path)
+    assert dict(((t, k), n) for t, k, n in got if t > 110) == {
+        (t, "a"): sum(t - 20 <= s < t for s in (100, 104, 110, 130)) for t in range(111, 151) if any(t - 20 <= s < t for s in (100, 104, 110, 130))
+    }
+    late = {(r["k"], r["step"], r["lost"]) for r in spark.read.parquet(f"{sink.state}/late").collect()}
+    assert late == {("a", 104, False), ("b", 60, True)}
+    again, _ = counted(spark, 20, parts, f"{tmp_path}/patient", delay=100)
+    assert again == all_windows([r for p in parts for r in p], 20)
+
+
+def test_work_does_not_follow_the_window(spark, tmp_path):
+    """Rows read from the filed steps by one more batch, for windows of 300 and 3,000 seconds."""
+    read = {}
+    for window in (300, 3000):
+        sink = windows.SlidingBatches(f"{tmp_path}/{window}", {"k": "STRING"}, lambda df, i: df.count(), window=window)
+        history = [("a", s, 1) for s in range(10_000, 14_000)]
+        sink(spark.createDataFrame(history, "k STRING, step BIGINT, n BIGINT"), 0)
+        sink(spark.createDataFrame([("a", 14_010, 1)], "k STRING, step BIGINT, n BIGINT"), 1)
+        files = sink.leaving(spark, 14_010, 14_011, 2).inputFiles()
+        read[window] = spark.read.parquet(*files).count() if files else 0
+        assert sink.running(spark).latest().count() == 1
+    assert 0 < max(read.values()) <= 2 * windows.FILED
+
+
+def test_unusable_lines_are_counted(spark, tmp_path):
+    """Vectors of another length and a model that has run away neither stop training nor get an answer."""
+    start = kmeans.KMeansModel(((0.0, 0.0), (10.0, 0.0)), (0.0, 0.0))
+    batch = spark.createDataFrame([([1.0, 0.0],), ([1.0],), (None,), ([9.0, 1.0, 2.0],)], "features ARRAY<DOUBLE>")
+    learning.KMeansTrainer(f"{tmp_path}/m", start)(batch, 0)
+    assert learning.unused_rows(spark, f"{tmp_path}/m").latest().first()["rows"] == 3
+    assert learning.KMeansStore(spark, f"{tmp_path}/m").latest().centres[0] == (1.0, 0.0)
+    assert [r["cluster"] for r in kmeans.assign(batch, start).collect()] == [0, None, None, None]
+    points = spark.createDataFrame([(1.0, 19_000.0), (2.0, 18_000.0)], "label DOUBLE, feature DOUBLE")
+    trainer = learning.LineTrainer(f"{tmp_path}/l")
+    for i in range(3):
+        trainer(points, i)
+    assert learning.LineStore(spark, f"{tmp_path}/l").table.versions() == [0, 1, 2]
+
+
+def test_late_hit_inside_a_carried_session(spark, tmp_path):
+    hits = [(i, "v", s, f"/p{s}") for i, s in enumerate([90, *range(150, 270, 10)])]
+    late = [(100, "v", 155, "/p155"), (101, "v", 270, "/p270")]
+    made = lambda rows: spark.createDataFrame(rows, "event_id BIGINT, ip STRING, s BIGINT, url STRING").select(
+        "event_id", "ip", F.timestamp_seconds("s").alias("arrived"), "url"
+    )
+    kept = {}
+    sink = SessionBatches(
+        f"{tmp_path}/state", lambda df, i: None, lambda df, i: kept.update({i: [r["clickstream"] for r in df.collect()]}),
+        ts="arrived", gap_seconds=100,
+    )
+    sink(made(hits), 0)
+    sink(made(late), 1)
+    wanted = sessions.sessions(made(hits + late), "ip", "arrived", "event_id", "url", 100).collect()
+    assert kept[1] == [r["clickstream"] for r in wanted]
