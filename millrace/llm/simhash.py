@@ -70,7 +70,7 @@ def list_links(fps: np.ndarray, bits: int) -> list[tuple[int, int]]:
         if not queue:
             queue, rest = [rest[0]], rest[1:]
         at = queue.pop()
-        differing = rest ^ at
+        differing = (rest ^ at).view(np.uint64)  # signed values would be counted without their sign
         shared = (differing.view(np.uint8).reshape(-1, 8) == 0).sum(1)
         near = (shared >= 8 - bits) & (np.bitwise_count(differing) <= bits)
         if near.any():
