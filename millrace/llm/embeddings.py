@@ -164,5 +164,5 @@ def near_duplicates(vectors: DataFrame, least: float = 0.93, blocks: int = 4, ti
         "vec_id",
         F.coalesce("links", F.lit(0)).cast("long").alias("n_links"),
         component.cast("long").alias("component_id"),
-        F.coalesce(F.col("vec_id") == component, F.lit(True)).alias("kept"),
+        (component.isNull() | F.coalesce(F.col("vec_id") == component, F.lit(False))).alias("kept"),
     )
