@@ -65,10 +65,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = 0.8) -> D
         shingled = narrow.select("k1", "k2", plain_words(F.col("text")).alias("w")).select("k1", "k2", F.explode(shingle_hashes(width)).alias("h"))
         candidates = staged(shingled.join(signed, "h").select("k1", "k2", "item_id").distinct(), "candidates")
         texts = staged(of_width.select("item_id", F.array_distinct(shingle_texts(width)).alias("s")).select("item_id", F.size("s").alias("n_item"), F.explode("s").alias("shingle")), "shingles")
-        suspects = narrow.join(candidates.select("k1", "k2").distinct(), ["k1", "k2"], "left_semi").dropDuplicates(["k1", "k2"])
+        suspects = narrow.join(candidates.select("k1", "k2").distinct(), ["k1", "k2"], "left_semi")
         pieces = suspects.select("k1", "k2", "doc_id", plain_words(F.col("text")).alias("w"))
         pieces = pieces.select("k1", "k2", "doc_id", F.explode(F.array_distinct(shingle_texts(width))).alias("shingle"))
-        shared = pieces.join(texts, "shingle").groupBy("k1", "k2", "doc_id", "item_id", "n_item").agg(F.count(F.lit(1)).alias("n_shared"))
+        shared = pieces.join(texts, "shingle").groupBy("k1", "k2", "doc_id", "item_id", "n_item").agg(F.count_distinct("shingle").alias("n_shared"))
         checked = shared.join(candidates, ["k1", "k2", "item_id"], "left_semi").where(F.col("n_shared") >= F.ceil(F.col("n_item") * F.lit(least)))
         found = checked if found is None else found.unionByName(checked)
     return found.withColumn("containment", F.col("n_shared") / F.col("n_item"))
