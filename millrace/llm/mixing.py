@@ -29,8 +29,10 @@ EXACT_POPULATION = 1_000_000_000
 def hypergeometric(rng: np.random.Generator, good: int, bad: int, drawn: int) -> int:
     """One draw; beyond numpy's exact range the normal law of the same mean and variance, within the bounds."""
     total = good + bad
-    if total < EXACT_POPULATION or not (good and bad and drawn):
-        return int(rng.hypergeometric(good, bad, drawn)) if drawn else 0
+    if not (good and bad and drawn):
+        return drawn if good else 0
+    if total < EXACT_POPULATION:
+        return int(rng.hypergeometric(good, bad, drawn))
     mean = drawn * good / total
     spread = (mean * (bad / total) * ((total - drawn) / (total - 1))) ** 0.5
     return int(min(max(round(rng.normal(mean, spread)), drawn - bad, 0), good, drawn))
