@@ -141,6 +141,8 @@ _FATES = """
 SELECT window_end, kind, CASE WHEN window_end IN (SELECT window_end FROM sent WHERE window_end IS NOT NULL)
     THEN 'issued' ELSE 'suppressed' END AS action FROM due"""
 
+_ISSUED = " SELECT window_end, kind FROM due WHERE window_end IN (SELECT window_end FROM sent WHERE window_end IS NOT NULL)"
+
 _CENTRES = """WITH centres AS (
     SELECT label % 5 AS g, arg_min(embedding::DOUBLE[], vec_id) AS c FROM embeddings GROUP BY ALL),
 ranked_centres AS (SELECT (row_number() OVER (ORDER BY g) - 1)::INT AS cluster, c FROM centres),
@@ -255,9 +257,8 @@ SELECT window_end, n, success, failure, coalesce(round(ratio, 9), -1) AS ratio,
     CASE WHEN n = 0 THEN 'empty' WHEN ratio IS NULL THEN 'too_few' WHEN ratio > 0.5 THEN 'alarm' ELSE 'ok' END AS state
 FROM rated""",
     "no_data_alarms": _GAP_STATUS + " SELECT * FROM silent",
-    "alarms_issued": _STATUS
-    + _alarms("0.5::DOUBLE")
-    + " SELECT window_end, kind FROM due WHERE window_end IN (SELECT window_end FROM sent WHERE window_end IS NOT NULL)",
+    "alarms_issued": _STATUS + _alarms("1.0::DOUBLE / 3.0::DOUBLE") + _ISSUED,
+    "alarms_issued_with_silence": _GAP_STATUS + _alarms("0.5::DOUBLE") + _ISSUED,
     "alarm_log": _STATUS + _alarms("1.0::DOUBLE / 3.0::DOUBLE") + _FATES,
     "alarm_log_with_silence": _GAP_STATUS + _alarms("1.0::DOUBLE / 3.0::DOUBLE") + _FATES,
     "kmeans_assign": _CENTRES + " SELECT vec_id, label, cluster FROM assigned",

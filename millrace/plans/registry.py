@@ -336,8 +336,15 @@ def no_data_alarms(spark, sf_dir):
 
 @query
 def alarms_issued(spark, sf_dir):
-    """Alarms that go out with the usual settings."""
-    found = jobs.alarm_history(log(spark, sf_dir))
+    """Alarms that go out, with a ratio bound low enough that there are some."""
+    found = jobs.alarm_history(log(spark, sf_dir), max_ratio=LOW_RATIO)
+    return found.where("action = 'issued'").select("window_end", "kind")
+
+
+@query
+def alarms_issued_with_silence(spark, sf_dir):
+    """The same with the usual settings, for a log with ten silent minutes cut out."""
+    found = jobs.alarm_history(gap_log(spark, sf_dir))
     return found.where("action = 'issued'").select("window_end", "kind")
 
 

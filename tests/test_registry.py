@@ -8,6 +8,9 @@ from tools.check import TABLES, table_of
 
 QUERIES, ORACLES = all_queries(), all_oracles()
 
+#: 1,000 lines in an hour never make the hundred lines that a window needs for a ratio.
+NONE_IN_SMALL_LOG = {"alarm_log", "alarms_issued", "stream_alarm_log"}
+
 
 @pytest.fixture(scope="module")
 def con(data):
@@ -28,7 +31,7 @@ def test_query_equals_sql(spark, con, data, name):
     answer = con.execute(ORACLES[name])
     wanted = table_of([d[0] for d in answer.description], answer.fetchall())
     got = table_of(df.columns, [tuple(r) for r in df.collect()])
-    assert len(got[1]) > 0
+    assert len(got[1]) > 0 or name in NONE_IN_SMALL_LOG
     assert got == wanted
     # native expressions only, and joins on keys only
     plan = df._jdf.queryExecution().executedPlan().toString()
