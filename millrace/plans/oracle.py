@@ -262,6 +262,9 @@ FROM rated""",
     "alarm_log": _STATUS + _alarms("1.0::DOUBLE / 3.0::DOUBLE") + _FATES,
     "alarm_log_with_silence": _GAP_STATUS + _alarms("1.0::DOUBLE / 3.0::DOUBLE") + _FATES,
     "kmeans_assign": _CENTRES + " SELECT vec_id, label, cluster FROM assigned",
+    "parsed_vectors": """
+SELECT vec_id, len(embedding)::INT AS n, round(list_sum(embedding::DOUBLE[]), 4) AS total FROM embeddings""",
+    "parsed_points": f"WITH {_XY} SELECT id, round(label, 6) AS label, round(feature, 6) AS feature FROM xy",
     "kmeans_agreement": _CENTRES + " SELECT label, cluster, count(*) AS n FROM assigned GROUP BY ALL",
     "kmeans_step": _CENTRES
     + """,
@@ -304,6 +307,10 @@ _ORACLE |= {
     "stream_trending_terms": _ORACLE["trending_terms"],
     "stream_alarm_log": _ORACLE["alarm_log"],
     "stream_alarm_log_with_silence": _ORACLE["alarm_log_with_silence"],
+    "stream_top_agents": _ORACLE["leading_agents"],
+    "stream_text_status": _ORACLE["status_by_window"],
+    "stream_json_lengths": _ORACLE["total_lengths"],
+    "stream_kmeans_scores": _ORACLE["kmeans_agreement"],
     "stream_agent_counts": _ORACLE["agent_counts_sql"],
     "stream_sessions": _ORACLE["sessions_by_user"],
     "stream_kmeans": _ORACLE["kmeans_step"],

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions import access_log as al
+from millrace.functions.vectors import parse_labeled, parse_vector
 from millrace.operators import alarms, kmeans, logs, regression, running, sessions, sliding, words
 from millrace.plans import jobs
 from millrace.session import scratch_path, prepare
@@ -380,6 +381,25 @@ def kmeans_assign(spark, sf_dir):
     return found.select("vec_id", "label", "cluster")
 
 
+@query
+def parsed_vectors(spark, sf_dir):
+    """Vectors written as ``[a,b,..]`` and read back."""
+    text = points(spark, sf_dir).select("vec_id", F.to_json("features").alias("line"))
+    parsed = text.select("vec_id", parse_vector(F.col("line")).alias("v"))
+    total = F.aggregate("v", F.lit(0.0), lambda a, x: a + x)
+    return parsed.select("vec_id", F.size("v").alias("n"), F.round(total, 4).alias("total"))
+
+
+@query
+def parsed_points(spark, sf_dir):
+    """Points written as ``label,feature`` and read back."""
+    xy = derived.labelled_points(events(spark, sf_dir))
+    text = xy.select("id", F.concat_ws(",", F.col("label").cast("string"), F.col("feature").cast("string")).alias("line"))
+    parsed = text.select("id", parse_labeled(F.col("line")).alias("p"))
+    feature = F.get("p.features", F.lit(0))
+    return parsed.select("id", F.round("p.label", 6).alias("label"), F.round(feature, 6).alias("feature"))
+
+
 @query
 def kmeans_agreement(spark, sf_dir):
     return kmeans.label_agreement(kmeans.assign(points(spark, sf_dir), first_centres(spark, sf_dir)))

@@ -15,7 +15,7 @@ from millrace.plans.registry import (
     query,
 )
 from millrace.session import scratch_path, use_rocksdb_state
-from millrace.sources import derived
+from millrace.sources import derived, lines, posts
 from millrace.streaming import jobs, learning, sinks
 from millrace.streaming.runner import for_each_batch
 from millrace.streaming.versions import VersionedTable
@@ -38,6 +38,33 @@ def log_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return derived.access_log(event_stream(spark, sf_dir))
 
 
+PARTS = 4
+
+
+def written_parts(df: DataFrame, ts: str, folder: str, fmt: str = "parquet") -> int:
+    """The rows in time order, written part after part; gives the seconds that a part spans.
+
+    Files are read in the order in which they were written.  A part may be many files, so rows come late by the
+    span of a part at most.
+    """
+    at = F.unix_seconds(F.col(ts).cast("timestamp"))
+    first, last = df.agg(F.min(at), F.max(at)).first()
+    span = (last - first) // PARTS + 1
+    for i in range(PARTS):
+        piece = df.where((at >= first + i * span) & (at < first + (i + 1) * span))
+        piece.write.mode("append").format(fmt).save(folder)
+    return span
+
+
+def arriving_events(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int]:
+    """The stored events as a stream of several batches in time order, and how late rows may come (in log time)."""
+    table = derived.table(use_rocksdb_state(spark), sf_dir, "events")
+    folder = scratch_path(spark, "arriving")
+    span = written_parts(table, "ts", folder)
+    stream = spark.readStream.schema(table.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    return stream, span // derived.SQUEEZE + 2
+
+
 def newest_result(df: DataFrame, folder: str) -> DataFrame:
     """Run a complete-mode stream to its end and read its last answer."""
     spark = df.sparkSession
@@ -73,26 +100,28 @@ def stream_total_lengths(spark, sf_dir):
 @query
 def stream_top_urls(spark, sf_dir):
     folder = scratch_path(spark, "top-urls")
-    lines = log_stream(spark, sf_dir)
+    events, late = arriving_events(spark, sf_dir)
     out = f"{folder}/out"
-    ended(spark, *jobs.top_urls(lines, f"{folder}/state", out, f"{folder}/cp", interval=None, delay=0))
+    run = jobs.top_urls(derived.access_log(events), f"{folder}/state", out, f"{folder}/cp", interval=None, delay=late)
+    ended(spark, *run)
     return batches(spark, out)
 
 
 @query
 def stream_trending_terms(spark, sf_dir):
     folder = scratch_path(spark, "terms")
-    posts = derived.posts(event_stream(spark, sf_dir))
+    events, late = arriving_events(spark, sf_dir)
     out = f"{folder}/out"
-    ended(spark, *jobs.popular_terms(posts, f"{folder}/state", out, f"{folder}/cp", interval=None, delay=0))
+    run = jobs.popular_terms(derived.posts(events), f"{folder}/state", out, f"{folder}/cp", interval=None, delay=late)
+    ended(spark, *run)
     return batches(spark, out)
 
 
-def streamed_alarms(spark: SparkSession, lines: DataFrame) -> DataFrame:
+def streamed_alarms(spark: SparkSession, lines: DataFrame, late: int) -> DataFrame:
     folder = scratch_path(spark, "alarms")
     out = f"{folder}/alarms"
     run = jobs.watch_errors(
-        lines, f"{folder}/state", f"{folder}/status", out, f"{folder}/cp", interval=None, delay=0, max_ratio=LOW_RATIO
+        lines, f"{folder}/state", f"{folder}/status", out, f"{folder}/cp", interval=None, delay=late, max_ratio=LOW_RATIO
     )
     ended(spark, *run)
     return batches(spark, out)
@@ -100,13 +129,66 @@ def streamed_alarms(spark: SparkSession, lines: DataFrame) -> DataFrame:
 
 @query
 def stream_alarm_log(spark, sf_dir):
-    return streamed_alarms(spark, log_stream(spark, sf_dir))
+    events, late = arriving_events(spark, sf_dir)
+    return streamed_alarms(spark, derived.access_log(events), late)
 
 
 @query
 def stream_alarm_log_with_silence(spark, sf_dir):
     """Over a log with ten silent minutes cut out, which is what the no-data alarm is for."""
-    return streamed_alarms(spark, derived.without_gap(log_stream(spark, sf_dir)))
+    events, late = arriving_events(spark, sf_dir)
+    return streamed_alarms(spark, derived.without_gap(derived.access_log(events)), late)
+
+
+@query
+def stream_top_agents(spark, sf_dir):
+    folder = scratch_path(spark, "top-agents")
+    events, late = arriving_events(spark, sf_dir)
+    lines, out = derived.access_log(events), f"{folder}/out"
+    run = jobs.top_fields(lines, "agent", f"{folder}/state", out, f"{folder}/cp", k=3, interval=None, delay=late)
+    ended(spark, *run)
+    return batches(spark, out)
+
+
+@query
+def stream_text_status(spark, sf_dir):
+    """Requests per status and window out of lines of text files, several batches."""
+    folder = scratch_path(spark, "text-status")
+    stored = derived.access_log(derived.table(use_rocksdb_state(spark), sf_dir, "events"))
+    stored.select("line").write.text(f"{folder}/in")
+    windows = jobs.status_windows(lines.stream_lines(spark, f"{folder}/in", 1), "10 minutes")
+    return newest_result(flat_windows(windows), folder)
+
+
+def json_posts(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
+    """The posts as a stream of JSON files in time order."""
+    stored = derived.posts(derived.table(use_rocksdb_state(spark), sf_dir, "events"))
+    written_parts(stored, "ts", f"{folder}/in", "json")
+    return posts.stream_posts(spark, f"{folder}/in", max_files_per_trigger=1)
+
+
+@query
+def stream_json_lengths(spark, sf_dir):
+    """The last of the running totals over JSON posts that come in several batches."""
+    folder = scratch_path(spark, "json-lengths")
+    jobs.post_lengths(json_posts(spark, sf_dir, folder), f"{folder}/out", f"{folder}/cp", None).awaitTermination()
+    rows = spark.read.parquet(f"{folder}/out")
+    last = rows.agg(F.max_by(F.struct("total_posts", "total_chars", "max_so_far", "average"), "batch_id").alias("r"))
+    return last.select("r.*")
+
+
+@query
+def stream_kmeans_scores(spark, sf_dir):
+    """How often labels of lines ``(label,[..])`` meet the clusters of the starting centres, scored live."""
+    folder = scratch_path(spark, "scores")
+    table = derived.vectors(derived.table(spark, sf_dir, "embeddings"))
+    table.select(F.concat(F.lit("("), "label", F.lit(","), F.to_json("features"), F.lit(")"))).write.text(f"{folder}/in")
+    scored = jobs.score_kmeans(
+        lines.stream_lines(spark, f"{folder}/in"), f"{folder}/model", f"{folder}/out", f"{folder}/cp",
+        first_centres(spark, sf_dir), interval=None,
+    )
+    scored.awaitTermination()
+    return batches(spark, f"{folder}/out").groupBy("label", "cluster").agg(F.count("*").alias("n"))
 
 
 @query
