@@ -181,5 +181,5 @@ def score_line(
     interval: str | None = "1 second",
 ) -> StreamingQuery:
     """Label and prediction of lines ``label,feature``."""
-    sink = learning.line_scorer(model, sinks.ParquetBatches(out), version)
+    sink = learning.line_scorer(model, sinks.ParquetBatches(out), version, out)
     return for_each_batch(_points(lines), sink, checkpoint, interval)

@@ -113,12 +113,16 @@ class Scorer:
         out: Callable[[DataFrame, int], None],
         load: Callable[[SparkSession], object],
         score: Callable[[DataFrame, object], DataFrame],
+        usable: Column | None = None,
+        unused: str | None = None,
     ):
-        self.out, self.load, self.score = out, load, score
+        self.out, self.load, self.score, self.usable, self.unused = out, load, score, usable, unused
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         model = self.load(batch.sparkSession)
         if model is not None:
+            if self.usable is not None and self.unused:
+                batch = report_unused(batch, self.usable, self.unused, batch_id)
             self.out(self.score(batch, model), batch_id)
 
 
@@ -135,8 +139,11 @@ def kmeans_scorer(path: str, start: kmeans.KMeansModel, out, version: int | None
     return Scorer(out, load, score)
 
 
-def line_scorer(path: str, out, version: int | None = None) -> Scorer:
-    """Prediction per labelled point; before any training the zero line answers."""
+def line_scorer(path: str, out, version: int | None = None, unused: str | None = None) -> Scorer:
+    """Prediction per labelled point; before any training the zero line answers.
+
+    With ``unused`` rows without a label or a feature are counted beside that path instead of answered.
+    """
 
     def load(spark: SparkSession):
         store = LineStore(spark, path)
@@ -145,4 +152,4 @@ def line_scorer(path: str, out, version: int | None = None) -> Scorer:
     def score(batch: DataFrame, model: regression.LineModel) -> DataFrame:
         return batch.select("label", regression.predict(F.col("feature"), model).alias("prediction"))
 
-    return Scorer(out, load, score)
+    return Scorer(out, load, score, F.col("label").isNotNull() & F.col("feature").isNotNull(), unused)

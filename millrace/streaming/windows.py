@@ -147,7 +147,7 @@ class SlidingBatches(StepBatches):
         return self.table(spark, "ahead", [*self.columns, "step BIGINT", "n BIGINT"])
 
     def leaving(self, spark: SparkSession, low: int | None, high: int, batch_id: int) -> DataFrame:
-        """Filed steps of earlier batches whose leaving time is in (low, high]; only the files of these times are read."""
+        """Filed steps of earlier batches that leave after ``low`` + slide, up to ``high``; only the files of these times are read."""
         schema = ", ".join([*self.columns, "step BIGINT", "n BIGINT", "batch BIGINT", "filed BIGINT"])
         files = VersionedTable(spark, f"{self.state}/leaving", schema)
         if low is None or not files.exists():
@@ -155,7 +155,7 @@ class SlidingBatches(StepBatches):
         filed = F.col("filed").between(low // FILED, high // FILED)
         gone = F.col("step") + self.window + self.slide
         rows = spark.read.schema(schema).parquet(files.path).where(filed & (F.col("batch") < batch_id))
-        return rows.where((gone > low) & (gone <= high))
+        return rows.where((gone > low + self.slide) & (gone <= high))
 
     def levels(self, spark: SparkSession, steps: DataFrame, before: int | None, until: int, batch_id: int) -> DataFrame:
         """Stretches ``(<by>, from_t, until_t, n)`` of window ends in (before, until], and behind them (``from_t`` > until) the state."""
@@ -189,7 +189,9 @@ class SlidingBatches(StepBatches):
         self.ahead(spark).write(batch_id, entering.where(F.col("step") >= until))
         leave = now.where(F.col("step") + self.window + self.slide > until + self.slide)
         filed = leave.withColumn("filed", F.floor((F.col("step") + self.window + self.slide) / FILED)).withColumn("batch", F.lit(batch_id).cast("bigint"))
-        VersionedTable(spark, f"{self.state}/leaving", "").replace_parts(filed, ["filed", "batch"], batch_id, until // FILED)
+        # what left before the mark of the last batch is not needed even if this batch is run again
+        oldest = (before if before is not None else 0) // FILED
+        VersionedTable(spark, f"{self.state}/leaving", "").replace_parts(filed, ["filed", "batch"], batch_id, oldest)
 
     def finish(self, spark: SparkSession, before: int, newest: int, batch_id: int) -> None:
         waiting = self.ahead(spark).before(batch_id)
