@@ -249,7 +249,8 @@ def repeated_windows(keyed: DataFrame, kind: Kind) -> DataFrame:
     at two places at least.  Ordered: windows that start in a document with a smaller ``doc``, too.
     """
     every = all_runs(keyed, kind)
-    again = every.groupBy("fp").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("fp")
+    # written first, so that both sides of the join are plain exchanges and a gram with a third of all runs is split
+    again = staged(every.groupBy("fp").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("fp"), "grams")
     meeting = staged(every.join(again, "fp"), "meeting-runs").withColumn("shape", F.col("place").bitwiseAND(F.lit(0xFFFFF)))
     content = ["fp", "sh", "shape"]
     contents = meeting.groupBy(*content).agg(F.count(F.lit(1)).alias("copies"), F.min("doc").alias("least"), F.min(F.struct("doc", "k1", "place")).alias("one"))
@@ -259,7 +260,7 @@ def repeated_windows(keyed: DataFrame, kind: Kind) -> DataFrame:
     pieces = staged(fetched(keyed, wanted, kind), "pieces")
     parts = settled(pieces, kind).groupBy(*content).agg(F.collect_set(F.struct("lo", "n")).alias("parts"))
     facts = contents.join(parts, content, "left").select(*content, "copies", "least", "parts")
-    facts = facts.where("copies > 1 OR parts IS NOT NULL")
+    facts = staged(facts.where("copies > 1 OR parts IS NOT NULL"), "facts")
     begin, n = F.shiftrightunsigned("place", 20), F.shiftright("place", 10).bitwiseAND(F.lit(1023))
     whole = F.col("doc") > F.col("least") if kind.ordered else F.col("copies") > 1
     windows = F.when(whole, F.array(F.struct(F.lit(0).alias("lo"), n.cast("int").alias("n")))).otherwise(F.col("parts"))
