@@ -43,11 +43,12 @@ class Shape:
     dim: int = 16
     context: int = 4
     head: int = 200_000
-    noise: int = 64
-    batch: int = 256
+    noise: int = 32
     rate: float = 0.3
-    #: Part of the training documents that each round uses.
+    #: Part of the training documents that each round uses, and the tokens of one step in it: small steps find the
+    #: way at first, larger ones cost half as much per token.
     rounds: tuple[float, ...] = (0.1, 0.2, 0.3, 0.4)
+    batches: tuple[int, ...] = (256, 1024, 1024, 1024)
 
     @property
     def classes(self) -> int:
@@ -226,20 +227,20 @@ def train(docs: DataFrame, known: Vocabulary, shape: Shape) -> dict[str, np.ndar
     parameters, low = start(known, shape), 0.0
     place = F.pmod(F.xxhash64("text", "doc_id"), F.lit(1 << 20)) / float(1 << 20)
     held = docs.sparkSession.sparkContext.broadcast((known.head, known.classes(), known.class_shares()))
-    for part in shape.rounds:
+    for part, size in zip(shape.rounds, shape.batches, strict=True):
         rows = docs.where((place >= low) & (place < low + part)).select("text")
         low += part
         begin = parameters
 
-        def run(batches: Iterator[pa.RecordBatch], begin: dict[str, np.ndarray] = begin, seed: float = low) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch], begin: dict[str, np.ndarray] = begin, seed: float = low, size: int = size) -> Iterator[pa.RecordBatch]:
             head, classes, shares = held.value
             ids, trainer, rest = Ids(head, known.shared), Trainer(begin, shares, shape, int(seed * 1000)), []
             waiting = 0
 
             def learn() -> None:
                 before, target, _ = contexts(rest, 0, shape.context)
-                for at in range(0, len(target), shape.batch):
-                    trainer.step(before[at : at + shape.batch], target[at : at + shape.batch])
+                for at in range(0, len(target), size):
+                    trainer.step(before[at : at + size], target[at : at + size])
                 rest.clear()
 
             for batch in batches:

@@ -78,7 +78,7 @@ def test_languages_of_odd_rows(odd, none, spoken):
     assert language.identify(none, None).count() == 0
 
 
-SMALL = language_model.Shape(own=5, shared=4, dim=4, context=2, head=12, noise=8, batch=32)
+SMALL = language_model.Shape(own=5, shared=4, dim=4, context=2, head=12, noise=8, batches=(32,) * 4)
 
 
 def test_token_probabilities_sum_to_one(spark, data):
@@ -128,7 +128,7 @@ def test_model_beats_counts_on_held_out_texts(spark):
     for i in range(600):
         rows.append((i, " ".join(rng.choice(groups[i % 4], 40))))
     docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
-    shape = language_model.Shape(own=100, shared=20, dim=8, context=3, batch=64)
+    shape = language_model.Shape(own=100, shared=20, dim=8, context=3, batches=(64,) * 4)
     out = language_model.score(docs, shape).where("held_out").toPandas()
     assert (out["score"] > out["base_score"]).mean() > 0.95
 
