@@ -43,12 +43,11 @@ class Shape:
     dim: int = 16
     context: int = 4
     head: int = 200_000
-    noise: int = 32
+    noise: int = 64
     rate: float = 0.3
-    #: Part of the training documents that each round uses, and the tokens of one step in it: small steps find the
-    #: way at first, larger ones cost half as much per token.
+    #: Part of the training documents that each round uses, and the tokens of one step in it.
     rounds: tuple[float, ...] = (0.1, 0.2, 0.3, 0.4)
-    batches: tuple[int, ...] = (256, 1024, 1024, 1024)
+    batches: tuple[int, ...] = (256, 256, 256, 256)
 
     @property
     def classes(self) -> int:

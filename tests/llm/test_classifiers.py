@@ -133,6 +133,12 @@ def test_model_beats_counts_on_held_out_texts(spark):
     assert (out["score"] > out["base_score"]).mean() > 0.95
 
 
+def test_default_shape_learns_from_context(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").repartition(4)
+    sums = language_model.score(docs).where("held_out").selectExpr("sum(score) / sum(n_tokens) AS score", "sum(base_score) / sum(n_tokens) AS base").first()
+    assert sums["score"] - sums["base"] > 0.01  # per token; 0.001 with larger steps and half the noise
+
+
 def test_scores_of_odd_rows(odd, none):
     rows = language_model.score(odd, SMALL).collect()
     assert len(rows) == 12
