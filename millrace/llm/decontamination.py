@@ -75,6 +75,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = 0.8) -> D
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, least: float = 0.8) -> DataFrame:
-    """The rows of ``docs`` that hold no item; others stay as they are."""
-    bad = contaminated(docs, benchmark, least).select(F.col("k1").alias("_llm_k1"), F.col("k2").alias("_llm_k2")).distinct()
+    """The rows of ``docs`` that hold no item, whether or not it has an id; others stay as they are."""
+    named = benchmark.select(F.md5(F.to_json(F.struct(plain_words(F.col("text"))))).alias("item_id"), "text")  # by its words
+    bad = contaminated(docs, named, least).select(F.col("k1").alias("_llm_k1"), F.col("k2").alias("_llm_k2")).distinct()
     return keyed(docs).join(bad, ["_llm_k1", "_llm_k2"], "left_anti").select(*docs.columns)

@@ -296,3 +296,11 @@ def test_linked_vectors(spark, tile, blocks):
 def test_no_vectors(spark):
     none = spark.createDataFrame([], "vec_id long, embedding array<float>, label int, extra string")
     assert embeddings.near_duplicates(none).count() == 0
+
+
+def test_clean_uses_items_without_an_id(spark):
+    item = "one two three four five six seven eight nine ten"
+    docs = spark.createDataFrame([(1, f"before it {item} and after"), (2, "something else that is clean as it stands here")], "doc_id long, text string")
+    for i in (None, 5):
+        benchmark = spark.createDataFrame([(i, item), (None, None)], "item_id long, text string")
+        assert [r["doc_id"] for r in decontamination.clean(docs, benchmark).collect()] == [2]
