@@ -7,7 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import decontamination, embeddings, language, language_model, mixing, phrases, sharding, simhash, suffixes, toxicity
+from millrace.llm import (
+    decontamination,
+    embeddings,
+    language,
+    language_model,
+    merkle,
+    mixing,
+    oracle,
+    phrases,
+    prefix_forest,
+    prefix_trie,
+    sharding,
+    simhash,
+    suffixes,
+    toxicity,
+)
 from millrace.llm.common import remainder
 
 
@@ -74,6 +89,29 @@ def op10_embedding_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(read(spark, sf_dir, "embeddings"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.when(remainder("doc_id", 2) == 0, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    tampered = merkle.leaf(*[F.col(c) for c in merkle.FIELDS[:-1]], text)
+    found = merkle.manifest(read(spark, sf_dir, "documents"), tampered)
+    return found.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        merkle.siblings_digest(F.col("proof")).alias("proof_sha256"),
+        F.col("folded").alias("folded_root"),
+        (F.col("folded") == F.col("root")).alias("verified"),
+    )
+
+
+def op12_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_forest.nearest(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.conversation_trie(read(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_score_texts": op2_score_texts,
@@ -85,6 +123,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash": op8_simhash,
     "op9_phrase_dedup": op9_phrase_dedup,
     "op10_embedding_duplicates": op10_embedding_duplicates,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_nearest_neighbours": op12_nearest_neighbours,
+    "op13_conversation_trie": op13_conversation_trie,
 }
 
 ORACLES: dict[str, str] = {
@@ -128,4 +169,6 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, item_id, CAST(n_item AS INT) AS n_item, count(*) AS n_shared, count(*) / n_item AS containment
         FROM ds JOIN bs USING (s) JOIN n USING (item_id) GROUP BY doc_id, item_id, n_item HAVING count(*) >= ceil(n_item * 0.8)
     """,
+    "op11_merkle_manifest": oracle.MANIFEST,
+    "op13_conversation_trie": oracle.TRIE,
 }
