@@ -1,4 +1,4 @@
-"""A corpus pipeline: toxicity, near-duplicates, decontamination, mixing, sharding.
+"""A corpus pipeline: toxicity, SimHash near-duplicates, decontamination, mixing, sharding.
 
 Each stage takes (spark, docs, sf_dir), works on all that the stage before kept, and its rows are written as
 Parquet and read again for the next one.
@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import decontamination, mixing, near_copies, sharding, toxicity
+from millrace.llm import decontamination, mixing, sharding, simhash, toxicity
 from millrace.session import scratch_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -23,8 +23,8 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group linked by five-word shingles with a Jaccard similarity of 0.8, the one with the smallest id."""
-    return near_copies.keep_one(docs)
+    """One document of each group linked by fingerprints of three-word shingles within two bits, the one with the smallest id."""
+    return simhash.keep_one(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,7 +44,7 @@ def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES: list[tuple[str, Stage]] = [
     ("toxicity", reject_toxic),
-    ("near-duplicates", drop_near_duplicates),
+    ("SimHash near-duplicates", drop_near_duplicates),
     ("benchmark decontamination", decontaminate),
     ("mixing sources to target weights", mix_sources),
     ("sharding", shard),
