@@ -189,12 +189,11 @@ def best(scores: np.ndarray, q: np.ndarray, x: np.ndarray, least: np.ndarray, k:
 
 
 def compared(targets: DataFrame, points: DataFrame, floats: bool, k: int) -> DataFrame:
-    """``query, node, least, score``: the best ``k`` entries of each query in each shard it reads."""
+    """``query, found``: the best ``k`` entries of each query in each shard it reads, as one list per shard."""
     kind = np.float32 if floats else np.float64
-    types = {"query": pa.int64(), "node": pa.int64(), "least": pa.int64(), "score": pa.float64()}
 
     def run(held: pa.Table, asked: pa.Table) -> pa.Table:
-        out = {c: [np.empty(0, t.to_pandas_dtype())] for c, t in types.items()}
+        queries, sizes, parts = [], [0], [(np.empty(0), np.empty(0, np.int64), np.empty(0, np.int64))]
         if held.num_rows and asked.num_rows:
             order = np.argsort(held["string"].to_numpy(), kind="stable")
             string, node, least = (held[c].to_numpy()[order] for c in ("string", "node", "least"))
@@ -212,12 +211,15 @@ def compared(targets: DataFrame, points: DataFrame, floats: bool, k: int) -> Dat
                 for rows in np.array_split(np.flatnonzero(which == span), 1 + (which == span).sum() // 256):
                     for i, scores in zip(rows.tolist(), q[rows] @ part.T, strict=True):
                         at, exact = best(scores, q[i], part, least[b:e], k)
-                        for c, v in zip(out, (np.full(len(at), query[i]), node[b:e][at], least[b:e][at], exact), strict=True):
-                            out[c].append(v)
-        return pa.table({c: pa.array(np.concatenate(v), types[c]) for c, v in out.items()})
+                        queries.append(query[i])
+                        sizes.append(len(at))
+                        parts.append((-exact, least[b:e][at], node[b:e][at]))
+        columns = [pa.array(np.concatenate(c)) for c in zip(*parts, strict=True)]
+        lists = pa.ListArray.from_arrays(pa.array(np.cumsum(sizes), pa.int32()), pa.StructArray.from_arrays(columns, ["far", "least", "node"]))
+        return pa.table({"query": pa.array(queries, pa.int64()), "found": lists})
 
     sides = points.groupBy("shard", "chunk").cogroup(targets.groupBy("shard", "chunk"))
-    return sides.applyInArrow(run, "query long, node long, least long, score double")
+    return sides.applyInArrow(run, "query long, found array<struct<far: double, least: long, node: long>>")
 
 
 def nearest(vectors: DataFrame, asked: Column, k: int = 20, trees: int = 48, candidates: int = 32_000, size: int = 8192) -> DataFrame:
@@ -250,8 +252,10 @@ def nearest(vectors: DataFrame, asked: Column, k: int = 20, trees: int = 48, can
     targets = targets.join(table.select(F.col("node").alias("query"), F.col("vec").alias("asked")), "query")
     points = located.select("shard", "chunk", "node", "string").join(table.select("node", "least", "vec"), "node")
     scored = compared(targets, points, floats, k + 1)
-    once = scored.groupBy("query", "node").agg(F.max("score").alias("score"), F.min("least").alias("least"))
-    ranked = once.withColumn("r", F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "least"))).where(F.col("r") <= k + 1)
+    # lists are put together and cut as lists; what several trees found stands side by side, with the same score
+    met = scored.groupBy("query").agg(F.sort_array(F.flatten(F.collect_list("found"))).alias("s"))
+    once = F.filter("s", lambda c, i: (i == 0) | (c["node"] != F.get("s", i - 1)["node"]))
+    ranked = met.select("query", F.explode(F.slice(once, 1, k + 1)).alias("c")).select("query", "c.node", (-F.col("c.far")).alias("score"))
     named = ranked.join(classes.select("node", "ids"), "node").select("query", F.explode("ids").alias("vec_id"), "score")
     first = F.slice(F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("far"), "vec_id"))), 1, k + 1).alias("near")
     lists = named.groupBy("query").agg(first)
