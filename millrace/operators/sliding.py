@@ -156,20 +156,23 @@ def top_k_sliding(
     block = max(-(-block // slide), 1) * slide
     # stretches of time hold whole blocks, so that no block is seen in two parts
     chunk = -(-_checked(window, slide, chunk) // block) * block
-    intervals = sliding_intervals(step_counts(df, by, ts, slide), by, window, slide, chunk=chunk)
+    return rank_intervals(sliding_intervals(step_counts(df, by, ts, slide), by, window, slide, chunk=chunk), by, k, slide, block)
+
+
+def able_intervals(intervals: DataFrame, by: Sequence[str], k: int, slide: int = 1, block: int = 60) -> DataFrame:
+    """Stretches cut at multiples of ``block`` without those that cannot be among the first ``k`` of any window."""
     starts = F.sequence(
         floor_to(F.col("from_t"), block), floor_to(F.col("until_t") - slide, block), F.lit(block).cast("bigint")
     )
     cut = intervals.select("*", F.explode(starts).alias("block")).select(
         *by,
-        "part",
         "block",
         F.greatest("from_t", "block").alias("from_t"),
         F.least(F.col("until_t"), F.col("block") + block).alias("until_t"),
         "n",
     )
     whole = F.sum(F.col("until_t") - F.col("from_t")) == block
-    floors = cut.groupBy(*by, "part", "block").agg(F.when(whole, F.min("n")).otherwise(F.lit(0)).alias("floor"))
+    floors = cut.groupBy(*by, "block").agg(F.when(whole, F.min("n")).otherwise(F.lit(0)).alias("floor"))
     marks = (
         top_k_rows(floors, ["block"], k, "floor")
         .groupBy("block")
@@ -178,7 +181,12 @@ def top_k_sliding(
         .select("block", "mark")
     )
     able = cut.join(marks, "block", "left").where(F.col("mark").isNull() | (F.col("n") >= F.col("mark")))
-    slides = every_slide(able.select(*by, "from_t", "until_t", "n"), slide)
+    return able.select(*by, "from_t", "until_t", "n")
+
+
+def rank_intervals(intervals: DataFrame, by: Sequence[str], k: int, slide: int = 1, block: int = 60) -> DataFrame:
+    """``window_end, rank, <by>, n`` of the first ``k`` keys of every window out of stretches (``from_t, until_t, n``)."""
+    slides = every_slide(able_intervals(intervals, by, k, slide, max(-(-block // slide), 1) * slide), slide)
     return top_k_rows(slides, ["window_end"], k, "n", *by).select("window_end", "rank", *by, "n")
 
 

@@ -15,12 +15,12 @@ from millrace.functions.access_log import FAILURE, SUCCESS
 from millrace.functions.text import text_length
 from millrace.functions.vectors import parse_labeled, parse_vector
 from millrace.operators import kmeans, logs, running, sliding, words
-from millrace.streaming import learning, sinks, windows
+from millrace.streaming import counts, learning, sinks, windows
 from millrace.streaming.runner import for_each_batch, run_until, to_console
 from millrace.streaming.sessions import SessionBatches, session_updates
 
 #: A query over windows, and what puts out the last windows once it has ended: ``close(spark)``.
-Windows = tuple[StreamingQuery, windows.StepBatches]
+Windows = tuple[StreamingQuery, counts.TopWindows | windows.AlarmBatches]
 
 
 def print_posts(posts: DataFrame, checkpoint: str, interval: str | None = "1 second") -> StreamingQuery:
@@ -59,8 +59,9 @@ def post_totals(posts: DataFrame) -> DataFrame:
 
 
 def _top(rows: DataFrame, by: str, ts: str, window: int, state: str, out: str, checkpoint: str, interval, delay, k):
-    sink = windows.top_k_batches(state, sinks.ParquetBatches(out), by, k=k, window=window, delay=delay)
-    return for_each_batch(windows.step_rows(rows, [by], ts), sink, checkpoint, interval), sink
+    late = counts.late_to(f"{state.rstrip('/')}/late")
+    sink = counts.TopWindows(checkpoint, sinks.ParquetBatches(out), by, k=k, window=window, delay=delay, late=late)
+    return for_each_batch(sink.stretches(rows, ts), sink, checkpoint, interval), sink
 
 
 def popular_terms(

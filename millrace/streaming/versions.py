@@ -62,24 +62,3 @@ class VersionedTable:
             path, _, files = self._files()
             for old in [v for v in self._numbers() if v < batch_id][self.keep :]:
                 files.delete(path(self._folder(old)), True)
-
-    def exists(self) -> bool:
-        _, root, files = self._files()
-        return files.exists(root)
-
-    def replace_parts(self, rows: DataFrame, by: list[str], batch_id: int, oldest: int) -> None:
-        """Writes rows below ``<path>/<first>=../<second>=<batch id>``, in place of what the batch wrote before.
-
-        Folders whose first value is below ``oldest`` are no longer needed and go.
-        """
-        path, root, files = self._files()
-        first, second = by
-        if files.exists(root):
-            for status in files.listStatus(root):
-                name = status.getPath().getName()
-                if name.startswith(f"{first}="):
-                    if int(name.split("=")[1]) < oldest:
-                        files.delete(status.getPath(), True)
-                    else:
-                        files.delete(path(status.getPath(), f"{second}={batch_id}"), True)
-        rows.write.mode("append").partitionBy(*by).parquet(self.path)

@@ -1,10 +1,7 @@
-"""Sliding windows on a stream.
+"""Window status and alarms on a stream, and short windows by Spark's own chained windows.
 
-Counting every event in all 300 windows that see it would multiply the state by 300.  A batch is
-counted per slide step, and steps are turned into windows by what enters and what leaves: a job
-carries one running count per active key, the steps that no window has taken in yet, and the steps
-that have still to leave, filed by the time at which they leave.  A batch reads the running counts,
-its own steps and the files of the times it passes, so its work does not follow the window length.
+A batch is counted per slide step; all lines of a step are one row, so a job carries the steps of one window length from
+batch to batch.  Windows per key are in ``counts``.
 
 No row is dropped.  A row that comes after windows it belongs to were put out still counts in all
 windows that are open, and its step is written to ``<state>/late`` as well.  ``close`` puts out what
@@ -15,19 +12,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators import alarms as al
-from millrace.operators.sliding import every_slide, top_k_rows
 from millrace.operators.timeline import floor_to, second_of
 from millrace.session import staged
 from millrace.streaming.versions import VersionedTable
 
-#: Seconds of leaving times that are filed together.
-FILED = 60
-
-
 def step_rows(
     rows: DataFrame,
     by: Sequence[str],
@@ -62,7 +54,7 @@ def sliding_stream(
 
 
 class StepBatches:
-    """What keyed windows and alarms share: marks of what is finished, late rows, and closing.
+    """Marks of what is finished, late rows, and closing.
 
     Windows up to the newest step minus ``delay`` seconds are finished by a batch.
     """
@@ -133,85 +125,6 @@ def floor_step(second: int, slide: int) -> int:
     return second - second % slide
 
 
-class SlidingBatches(StepBatches):
-    """Counts per key of every finished window, through ``use(windows, batch id)``."""
-
-    def __init__(self, state: str, by: Mapping[str, str], use: Callable[[DataFrame, int], None], **settings):
-        super().__init__(state, by, **settings)
-        self.use = use
-
-    def running(self, spark: SparkSession) -> VersionedTable:
-        return self.table(spark, "running", [*self.columns, "n BIGINT"])
-
-    def ahead(self, spark: SparkSession) -> VersionedTable:
-        return self.table(spark, "ahead", [*self.columns, "step BIGINT", "n BIGINT"])
-
-    def leaving(self, spark: SparkSession, low: int | None, high: int, batch_id: int) -> DataFrame:
-        """Filed steps of earlier batches that leave after ``low`` + slide, up to ``high``; only the files of these times are read."""
-        schema = ", ".join([*self.columns, "step BIGINT", "n BIGINT", "batch BIGINT", "filed BIGINT"])
-        files = VersionedTable(spark, f"{self.state}/leaving", schema)
-        if low is None or not files.exists():
-            return spark.createDataFrame([], schema)
-        filed = F.col("filed").between(low // FILED, high // FILED)
-        gone = F.col("step") + self.window + self.slide
-        rows = spark.read.schema(schema).parquet(files.path).where(filed & (F.col("batch") < batch_id))
-        return rows.where((gone > low + self.slide) & (gone <= high))
-
-    def levels(self, spark: SparkSession, steps: DataFrame, before: int | None, until: int, batch_id: int) -> DataFrame:
-        """Stretches ``(<by>, from_t, until_t, n)`` of window ends in (before, until], and behind them (``from_t`` > until) the state."""
-        low = until - self.window - 1 if before is None else before
-        first = F.lit(low + self.slide)
-        enter = steps.select(*self.by, F.greatest(F.col("step") + self.slide, first).alias("from_t"), "n")
-        own = steps.select(*self.by, (F.col("step") + self.window + self.slide).alias("from_t"), (-F.col("n")).alias("n"))
-        if before is None:  # the first batch may begin long before its newest step
-            enter = steps.select(*self.by, (F.col("step") + self.slide).alias("from_t"), "n")
-        held = self.running(spark).before(batch_id).select(*self.by, first.alias("from_t"), "n")
-        gone = self.leaving(spark, before, until + self.slide, batch_id)
-        gone = gone.select(*self.by, (F.col("step") + self.window + self.slide).alias("from_t"), (-F.col("n")).alias("n"))
-        edges = enter.unionByName(own).unionByName(held).unionByName(gone).where(F.col("from_t") <= until + self.slide)
-        merged = edges.groupBy(*self.by, "from_t").agg(F.sum("n").alias("n")).where("n <> 0")
-        line = Window.partitionBy(*self.by).orderBy("from_t")
-        level = F.sum("n").over(line.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        return merged.select(*self.by, "from_t", F.coalesce(F.lead("from_t").over(line), F.lit(until + 2 * self.slide)).alias("until_t"), level.alias("n"))
-
-    def advance(self, spark: SparkSession, steps: DataFrame, before: int | None, until: int, batch_id: int) -> None:
-        # a step of windows that are all finished has nothing to add
-        useful = steps if before is None else steps.where(F.col("step") + self.window > before)
-        waiting = self.ahead(spark).before(batch_id)
-        entering = staged(waiting.unionByName(useful.select(*self.by, "step", "n")), "entering")
-        now = entering.where(F.col("step") < until)
-        levels = staged(self.levels(spark, now, before, until, batch_id), "levels")
-        ends = levels.withColumn("until_t", F.least(F.col("until_t"), F.lit(until + self.slide))).where("n > 0 AND from_t < until_t")
-        self.use(every_slide(ends, self.slide), batch_id)
-        # the running count behind the last window end: steps that leave right after it are taken off already
-        state = levels.where((F.col("until_t") > until + self.slide) & (F.col("n") > 0)).select(*self.by, "n")
-        self.running(spark).write(batch_id, state)
-        self.ahead(spark).write(batch_id, entering.where(F.col("step") >= until))
-        leave = now.where(F.col("step") + self.window + self.slide > until + self.slide)
-        filed = leave.withColumn("filed", F.floor((F.col("step") + self.window + self.slide) / FILED)).withColumn("batch", F.lit(batch_id).cast("bigint"))
-        # what left before the mark of the last batch is not needed even if this batch is run again
-        oldest = (before if before is not None else 0) // FILED
-        VersionedTable(spark, f"{self.state}/leaving", "").replace_parts(filed, ["filed", "batch"], batch_id, oldest)
-
-    def finish(self, spark: SparkSession, before: int, newest: int, batch_id: int) -> None:
-        waiting = self.ahead(spark).before(batch_id)
-        levels = self.levels(spark, waiting, before, newest + self.window + self.slide, batch_id)
-        self.use(every_slide(levels.where("n > 0 AND from_t < until_t"), self.slide), batch_id)
-
-
-def top_k_batches(
-    state: str, out: Callable[[DataFrame, int], None], by: str, kind: str = "STRING", k: int = 10, window: int = 300,
-    slide: int = 1, delay: int = 0,
-) -> SlidingBatches:
-    """The ``k`` most frequent keys of every finished window, handed to ``out``."""
-
-    def use(windows: DataFrame, batch_id: int) -> None:
-        ranked = top_k_rows(windows, ["window_end"], k, "n", by).select("window_end", "rank", by, "n")
-        out(ranked, batch_id)
-
-    return SlidingBatches(state, {by: kind}, use, window=window, slide=slide, delay=delay)
-
-
 class AlarmBatches(StepBatches):
     """Status of every finished window and the alarms due, under one pause kept across batches.
 
