@@ -319,5 +319,86 @@ _ORACLE |= {
 }
 
 
+_PART = "({at} - min({at}) OVER ()) * 4 // (max({at}) OVER () - min({at}) OVER () + 1)"
+
+
+def _kmeans_batches(decay: float) -> str:
+    """Centres (``m<p>``) before each of four batches, and the batch's vectors with their cluster (``a<p>``)."""
+    steps = [
+        f"points AS (SELECT vec_id, label, embedding::DOUBLE[] AS v, {_PART.format(at='vec_id')} AS part FROM embeddings)",
+        "c0 AS (SELECT label % 5 AS g, arg_min(embedding::DOUBLE[], vec_id) AS c FROM embeddings GROUP BY ALL)",
+        "m0 AS (SELECT (row_number() OVER (ORDER BY g) - 1)::INT AS cluster, c, 0.0::DOUBLE AS w FROM c0)",
+    ]
+    for p in range(4):
+        steps += [
+            f"""a{p} AS (
+                SELECT vec_id, label, v, cluster, list_sum([power(v[i] - c[i], 2) FOR i IN range(1, len(c) + 1)]) AS d
+                FROM points, m{p} WHERE part = {p} QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY d, cluster) = 1)""",
+            f"x{p} AS (SELECT cluster, v, unnest(range(1, len(v) + 1)) AS axis FROM a{p})",
+            f"s{p} AS (SELECT cluster, axis, sum(v[axis]) AS total, count(*) AS n FROM x{p} GROUP BY cluster, axis)",
+            f"t{p} AS (SELECT cluster, any_value(n) AS n, list(total ORDER BY axis) AS total FROM s{p} GROUP BY cluster)",
+            f"""m{p + 1} AS (
+                SELECT m{p}.cluster, w * {decay}::DOUBLE + coalesce(n, 0) AS w, CASE WHEN n IS NULL THEN c ELSE
+                    [c[i] * (1 - n / (w * {decay}::DOUBLE + n)) + n / (w * {decay}::DOUBLE + n) * (total[i] / n) FOR i IN range(1, len(c) + 1)] END AS c
+                FROM m{p} LEFT JOIN t{p} ON t{p}.cluster = m{p}.cluster)""",
+        ]
+    return "WITH " + ", ".join(steps)
+
+
+def _line_batches() -> str:
+    """Gradient steps over four batches, each from the slope before it."""
+    steps = [
+        f"""parted AS (SELECT event_id AS id, {_PART.format(at='epoch_us(ts)')} AS part FROM events)""",
+        """s AS (
+    SELECT part, count(*)::DOUBLE AS n, sum(feature) AS sx, sum(label) AS sy, sum(feature * feature) AS sxx, sum(feature * label) AS sxy
+    FROM xy JOIN parted USING (id) GROUP BY part)""",
+        "l0 AS (SELECT 0.0::DOUBLE AS w)",
+    ]
+    for p in range(4):
+        steps += [
+            f"""g{p}(i, w, b, done) AS (
+    SELECT 0, w, 1.0::DOUBLE, false FROM l{p}
+    UNION ALL
+    SELECT i, nw, nb, i > 1 AND sqrt(power(nw - w, 2) + power(nb - b, 2)) < 0.001::DOUBLE * greatest(sqrt(nw * nw + nb * nb), 1.0::DOUBLE)
+    FROM (
+        SELECT i + 1 AS i, w, b,
+            w - 0.1::DOUBLE / sqrt(i + 1) * (w * sxx + b * sx - sxy) / n AS nw, b - 0.1::DOUBLE / sqrt(i + 1) * (w * sx + b * n - sy) / n AS nb
+        FROM g{p}, s WHERE part = {p} AND i < 50 AND NOT done))""",
+            f"l{p + 1} AS (SELECT arg_max(w, i) AS w, arg_max(b, i) AS b FROM g{p})",
+        ]
+    return f"WITH RECURSIVE {_XY}, " + ", ".join(steps)
+
+
+#: How late rows may come in streams of four parts, in log time.
+_LATE = f"((max(epoch_us(ts)) // 1000000 - min(epoch_us(ts)) // 1000000) // 4 + 1) // {SQUEEZE} + 2"
+
+_ORACLE |= {
+    "stream_session_hits": "WITH base AS (SELECT * FROM events)"
+    + _sessions("base", "user_id", "epoch_us(ts)", "event_type", 12 * 3600 * 1000000)
+    + f""",
+parted AS (SELECT event_id, {_PART.format(at='epoch_us(ts)')} AS part FROM events)
+SELECT k AS user_id, seq AS event_id, min(moment) OVER s AS start_us, moment AS last_us, row_number() OVER s AS session_length,
+    array_to_string((list(item) OVER s)[1:10], ' ') AS clicks
+FROM numbered JOIN parted ON event_id = seq
+WINDOW s AS (PARTITION BY k, session ORDER BY moment, seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) QUALIFY part >= 2""",
+    "stream_session_snapshot": _USER_SESSIONS
+    + _SNAPSHOT
+    + " AND last_us + 43200000000 >= (SELECT max(epoch_us(ts)) // 1000 * 1000 FROM events)",
+    "stream_closed_windows": f"SELECT * FROM ({_ORACLE['status_by_window']}) WHERE window_end <= (SELECT max(t) FROM ({'WITH ' + _TIMED + ' SELECT t FROM timed'})) - (SELECT {_LATE} FROM events)",
+    "stream_saved_until": f"""WITH {_POSTS},
+parted AS (SELECT text, (t - min(t) OVER ()) // ((max(t) OVER () - min(t) OVER ()) // 4 + 1) AS part FROM posts),
+sizes AS (SELECT part, coalesce(sum(count(*)) OVER (ORDER BY part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM parted GROUP BY part)
+SELECT text, count(*) AS n FROM parted JOIN sizes USING (part) WHERE before <= 1000 GROUP BY text""",
+    "stream_train_and_score": _kmeans_batches(0.5)
+    + " SELECT label, cluster, count(*) AS n FROM ("
+    + " UNION ALL ".join(f"SELECT label, cluster FROM a{p}" for p in range(4))
+    + ") GROUP BY ALL",
+    "stream_kmeans_decay": _kmeans_batches(0.5)
+    + " SELECT cluster, round(w, 6) AS n, axis, round(c[axis + 1], 6) AS centre FROM (SELECT *, unnest(range(0, len(c)))::INT AS axis FROM m4)",
+    "stream_silences": _ORACLE["no_data_alarms"],
+    "stream_regression_batches": _line_batches() + " SELECT round(w, 6) AS slope, round(b, 6) AS intercept FROM l4",
+}
+
+
 def all_oracles() -> dict[str, str]:
     return dict(_ORACLE)

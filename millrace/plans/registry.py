@@ -32,7 +32,7 @@ def query(fn: Query) -> Query:
 
 
 def all_queries() -> dict[str, Query]:
-    from millrace.plans import stream_queries  # noqa: F401  (registers itself)
+    from millrace.plans import resumed_queries, stream_queries  # noqa: F401  (they register themselves)
 
     return dict(_QUERIES)
 
@@ -272,9 +272,10 @@ def stop_after_n(spark, sf_dir):
 # -- sessions --------------------------------------------------------------------------------------
 
 
-def flat_sessions(found: DataFrame, key: str) -> DataFrame:
+def flat_sessions(found: DataFrame, key: str, *more: str) -> DataFrame:
     return found.select(
         key,
+        *more,
         F.unix_micros("session_start").alias("start_us"),
         F.unix_micros("last_hit").alias("last_us"),
         "session_length",

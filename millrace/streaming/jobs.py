@@ -135,10 +135,16 @@ def visitor_updates(hits: DataFrame, **settings) -> DataFrame:
     return session_updates(hits, **settings)
 
 
-def status_windows(lines: DataFrame, width: str = "1 hour") -> DataFrame:
-    """Requests per status and event-time window in window order, for complete mode."""
+def status_windows(lines: DataFrame, width: str = "1 hour", delay: str | None = None) -> DataFrame:
+    """Requests per status and event-time window in window order, for complete mode.
+
+    With a ``delay`` for append mode instead: each window once, when the watermark has passed its end, in no order.  State then holds only open
+    windows; lines that come later than that are dropped and counted (``runner.late_rows``).
+    """
     parsed = logs.parse_access_log(lines, "drop", fields=["ts", "status"])
-    return sliding.tumbling_counts(parsed, ["status"], "ts", width).orderBy("window", "status")
+    if delay is None:
+        return sliding.tumbling_counts(parsed, ["status"], "ts", width).orderBy("window", "status")
+    return sliding.tumbling_counts(parsed.withWatermark("ts", delay), ["status"], "ts", width)
 
 
 def train_kmeans(
@@ -155,11 +161,11 @@ def train_kmeans(
 
 def score_kmeans(
     lines: DataFrame, model: str, out: str, checkpoint: str, start: kmeans.KMeansModel, version: int | None = None,
-    interval: str | None = "1 second",
+    interval: str | None = "1 second", behind: bool = False,
 ) -> StreamingQuery:
-    """Label and cluster of lines ``(label,[a,b])``."""
+    """Label and cluster of lines ``(label,[a,b])``; ``behind``: see ``learning.Scorer``."""
     labelled = lines.select(parse_labeled(F.col("line")).alias("p")).select("p.*")
-    sink = learning.kmeans_scorer(model, start, sinks.ParquetBatches(out), version)
+    sink = learning.kmeans_scorer(model, start, sinks.ParquetBatches(out), version, behind)
     return for_each_batch(labelled, sink, checkpoint, interval)
 
 
@@ -179,8 +185,8 @@ def train_line(
 
 def score_line(
     lines: DataFrame, model: str, out: str, checkpoint: str, version: int | None = None,
-    interval: str | None = "1 second",
+    interval: str | None = "1 second", behind: bool = False,
 ) -> StreamingQuery:
-    """Label and prediction of lines ``label,feature``."""
-    sink = learning.line_scorer(model, sinks.ParquetBatches(out), version, out)
+    """Label and prediction of lines ``label,feature``; ``behind``: see ``learning.Scorer``."""
+    sink = learning.line_scorer(model, sinks.ParquetBatches(out), version, out, behind)
     return for_each_batch(_points(lines), sink, checkpoint, interval)

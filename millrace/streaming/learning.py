@@ -106,12 +106,16 @@ class LineTrainer:
 
 
 class Scorer:
-    """Predictions next to the known labels, by one named version of the model or the newest one."""
+    """Predictions next to the known labels, by one named version of the model or the newest one.
+
+    Training and scoring may run side by side.  With ``behind`` batch b is scored by the newest version older than b, which
+    training batch b does not touch: the answer is the same however far the trainer is, once it has published b - 1, and in a batch that is run again.
+    """
 
     def __init__(
         self,
         out: Callable[[DataFrame, int], None],
-        load: Callable[[SparkSession], object],
+        load: Callable[[SparkSession, int], object],
         score: Callable[[DataFrame, object], DataFrame],
         usable: Column | None = None,
         unused: str | None = None,
@@ -119,18 +123,20 @@ class Scorer:
         self.out, self.load, self.score, self.usable, self.unused = out, load, score, usable, unused
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        model = self.load(batch.sparkSession)
+        model = self.load(batch.sparkSession, batch_id)
         if model is not None:
             if self.usable is not None and self.unused:
                 batch = report_unused(batch, self.usable, self.unused, batch_id)
             self.out(self.score(batch, model), batch_id)
 
 
-def kmeans_scorer(path: str, start: kmeans.KMeansModel, out, version: int | None = None) -> Scorer:
+def kmeans_scorer(path: str, start: kmeans.KMeansModel, out, version: int | None = None, behind: bool = False) -> Scorer:
     """Cluster per labelled point; before any training the starting centres answer."""
 
-    def load(spark: SparkSession):
+    def load(spark: SparkSession, batch_id: int):
         store = KMeansStore(spark, path)
+        if behind:
+            return store.before(batch_id) or start
         return store.version(version) if version is not None else store.latest() or start
 
     def score(batch: DataFrame, model: kmeans.KMeansModel) -> DataFrame:
@@ -139,14 +145,16 @@ def kmeans_scorer(path: str, start: kmeans.KMeansModel, out, version: int | None
     return Scorer(out, load, score)
 
 
-def line_scorer(path: str, out, version: int | None = None, unused: str | None = None) -> Scorer:
+def line_scorer(path: str, out, version: int | None = None, unused: str | None = None, behind: bool = False) -> Scorer:
     """Prediction per labelled point; before any training the zero line answers.
 
     With ``unused`` rows without a label or a feature are counted beside that path instead of answered.
     """
 
-    def load(spark: SparkSession):
+    def load(spark: SparkSession, batch_id: int):
         store = LineStore(spark, path)
+        if behind:
+            return store.before(batch_id) or regression.LineModel()
         return store.version(version) if version is not None else store.latest() or regression.LineModel()
 
     def score(batch: DataFrame, model: regression.LineModel) -> DataFrame:

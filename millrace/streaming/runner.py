@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
-from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQueryListener
 
 BatchFn = Callable[[DataFrame, int], None]
 
@@ -41,9 +42,44 @@ def to_memory(
     return _scheduled(writer, checkpoint, interval).start()
 
 
-def run_until(query: StreamingQuery, done: Callable[[], bool], poll_seconds: float = 0.5) -> None:
-    """Wait for the query to end by itself, or stop it once ``done`` says so."""
-    while not query.awaitTermination(poll_seconds):
-        if done():
-            query.stop()
-            return
+class _Watch(StreamingQueryListener):
+    """Wakes whoever waits when a batch of the query has brought what is waited for, or the query has ended."""
+
+    def __init__(self, query: StreamingQuery, done: Callable[[], bool]):
+        self.query_id, self.done, self.over = str(query.id), done, threading.Event()
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        if str(event.progress.id) == self.query_id and self.done():
+            self.over.set()
+
+    def onQueryTerminated(self, event) -> None:
+        if str(event.id) == self.query_id:
+            self.over.set()
+
+
+def run_until(query: StreamingQuery, done: Callable[[], bool]) -> None:
+    """Wait for the query to end by itself, or stop it after the batch that makes ``done`` true."""
+    streams = SparkSession.active().streams
+    watch = _Watch(query, done)
+    streams.addListener(watch)
+    try:
+        if query.isActive and not done():  # it may have come that far before it was watched
+            while not watch.over.wait(60) and query.isActive:
+                pass
+    finally:
+        streams.removeListener(watch)
+    if query.isActive:
+        query.stop()  # a stopped query is not awaited: its thread may have been cut off in the middle of a batch
+    else:
+        query.awaitTermination()  # raises what it failed with
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Rows that came behind the watermark and were dropped, by the progress that is still kept."""
+    return sum(op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in p["stateOperators"])

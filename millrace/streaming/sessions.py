@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -82,36 +82,41 @@ class SessionBatches:
 
 
 class SessionProcessor(StatefulProcessor):
-    """Session state per visitor for ``transformWithState`` with event-time timers.
+    """Session state per visitor for ``transformWithState``.
 
-    ``each_hit`` answers every hit; otherwise each batch gives the visitor's latest state once.  Rows
-    with ``closed`` set report a session that ended.  The rows of a batch are put in time order and
-    cut at gaps here, because timers fire only between batches.  The hits of one visitor in one batch are
-    held in memory for that, so bound the batch at its source (``maxFilesPerTrigger``); where a single
+    ``each_hit`` answers every hit with its ``seq``; otherwise each batch gives the visitor's latest state once.  Rows
+    with ``closed`` set report a session that ended.
+
+    In event time the rows of a batch are put in time order and cut at gaps here, because timers fire only between batches; a timer ends
+    the last session once the watermark is past its gap.  With ``idle`` a session ends once no hit has arrived for the gap, by the
+    clock, whatever the hits' own times; its timer fires in batches without input too.
+
+    The hits of one visitor in one batch are held in memory, so bound the batch at its source (``maxFilesPerTrigger``); where a single
     visitor may be huge, ``SessionBatches`` is the form to use.
     """
 
-    def __init__(self, ts: str = "ts", seq: str = "seq", item: str = "url", gap_seconds: int = 1800, keep: int = 10,
-                 each_hit: bool = True):
-        self.ts, self.seq, self.item = ts, seq, item
-        self.gap_ms, self.keep, self.each_hit = gap_seconds * 1000, keep, each_hit
+    STATE = "first_us BIGINT, last_us BIGINT, n BIGINT, clicks ARRAY<STRING>, timer BIGINT"
 
-    STATE = "first_ms BIGINT, last_ms BIGINT, n BIGINT, clicks ARRAY<STRING>, timer BIGINT"
+    def __init__(self, seq: str = "seq", item: str = "url", gap_seconds: int = 1800, keep: int = 10, each_hit: bool = True, idle: bool = False):
+        self.seq, self.item, self.keep, self.each_hit, self.idle = seq, item, keep, each_hit, idle
+        self.gap_us = gap_seconds * 1_000_000
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.session = handle.getValueState("session", self.STATE)
 
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        """A visitor's last session out of stored history; one that the watermark has passed ends in the first batch."""
+        first, last, n, clicks = (initialState[c] for c in ("first_us", "last_us", "n", "clicks"))
+        self._keep(first, last, n, list(clicks), None, timerValues)
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        hits = sorted(
-            ((round(row[self.ts].timestamp() * 1000), row[self.seq], row[self.item]) for row in rows),
-            key=lambda hit: hit[:2],
-        )
+        hits = sorted(((row["at_us"], row[self.seq], row[self.item]) for row in rows), key=lambda hit: hit[:2])
         first, last, n, clicks, timer = self.session.get() if self.session.exists() else (None, None, 0, [], None)
         clicks = list(clicks)
-        for at, _, item in hits:
-            if last is not None and (at - last > self.gap_ms or first - at > self.gap_ms):
-                yield self._row(key, first, last, n, clicks, True)
+        for at, seq, item in hits:
+            if not self.idle and last is not None and (at - last > self.gap_us or first - at > self.gap_us):
+                yield self._row(key, None, first, last, n, clicks, True)
                 first, last, n, clicks = None, None, 0, []
             first = at if first is None else min(first, at)
             last = at if last is None else max(last, at)
@@ -119,24 +124,39 @@ class SessionProcessor(StatefulProcessor):
             if len(clicks) < self.keep:
                 clicks.append(item)
             if self.each_hit:
-                yield self._row(key, first, last, n, clicks, False)
+                yield self._row(key, seq, first, last, n, clicks, False)
         if not self.each_hit:
-            yield self._row(key, first, last, n, clicks, False)
-        due = last + self.gap_ms
+            yield self._row(key, None, first, last, n, clicks, False)
+        self._keep(first, last, n, clicks, timer, timerValues)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        if self.session.exists():
+            first, last, n, clicks, timer = self.session.get()
+            if timer == expiredTimerInfo.getExpiryTimeInMs():
+                yield self._row(key, None, first, last, n, list(clicks), True)
+                self.session.clear()
+
+    def _keep(self, first, last, n, clicks, timer, timerValues) -> None:
+        from_us = timerValues.getCurrentProcessingTimeInMs() * 1000 if self.idle else last
+        due = -(-(from_us + self.gap_us) // 1000)
         if timer is not None and timer != due:
             self.handle.deleteTimer(timer)
         if timer != due:
             self.handle.registerTimer(due)
         self.session.update((first, last, n, clicks, due))
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        if self.session.exists():
-            first, last, n, clicks, _ = self.session.get()
-            yield self._row(key, first, last, n, list(clicks), True)
-            self.session.clear()
+    def _row(self, key, seq, first, last, n, clicks, closed) -> Row:
+        return Row(key=key[0], seq=seq, first_us=first, last_us=last, n=n, clicks=list(clicks), closed=closed)
+
 
-    def _row(self, key, first, last, n, clicks, closed) -> Row:
-        return Row(key=key[0], first_ms=first, last_ms=last, session_length=n, clickstream=list(clicks), closed=closed)
+def session_columns(key: str) -> list[Column]:
+    return [
+        F.col("key").alias(key),
+        F.timestamp_micros("first_us").alias("session_start"),
+        F.timestamp_micros("last_us").alias("last_hit"),
+        F.col("n").alias("session_length"),
+        F.col("clicks").alias("clickstream"),
+    ]
 
 
 def session_updates(
@@ -150,24 +170,36 @@ def session_updates(
     keep: int = 10,
     each_hit: bool = True,
     delay: str = "10 seconds",
+    idle: bool = False,
+    initial: DataFrame | None = None,
 ) -> DataFrame:
-    """The session after every hit, as a stream.  Needs the RocksDB state store."""
-    answers = (
-        hits.withWatermark(ts, delay)
-        .groupBy(key)
-        .transformWithState(
-            statefulProcessor=SessionProcessor(ts, seq, item, gap_seconds, keep, each_hit),
-            outputStructType=f"key {kind}, first_ms BIGINT, last_ms BIGINT, session_length BIGINT, "
-            "clickstream ARRAY<STRING>, closed BOOLEAN",
-            outputMode="Append",
-            timeMode="EventTime",
-        )
-    )
-    return answers.select(
-        F.col("key").alias(key),
-        F.timestamp_millis("first_ms").alias("session_start"),
-        F.timestamp_millis("last_ms").alias("last_hit"),
-        "session_length",
-        "clickstream",
-        "closed",
+    """The session after every hit, as a stream: the session's columns, ``seq`` of the hit, and ``closed``.
+
+    ``initial`` (sessions as the batch operators give them, the latest of each visitor) is what the stream takes over from; without it every
+    visitor starts anew.  ``idle``: see ``SessionProcessor``.  Needs the RocksDB state store.
+    """
+    rows = hits.withColumn("at_us", F.unix_micros(F.col(ts).cast("timestamp")))
+    rows = rows if idle else rows.withWatermark(ts, delay)
+    before = initial
+    if initial is not None:
+        before = initial.select(
+            F.col(key), F.unix_micros("session_start").alias("first_us"), F.unix_micros("last_hit").alias("last_us"),
+            F.col("session_length").alias("n"), F.col("clickstream").alias("clicks"),
+        ).groupBy(key)
+    answers = rows.groupBy(key).transformWithState(
+        statefulProcessor=SessionProcessor(seq, item, gap_seconds, keep, each_hit, idle),
+        outputStructType=f"key {kind}, seq BIGINT, first_us BIGINT, last_us BIGINT, n BIGINT, clicks ARRAY<STRING>, closed BOOLEAN",
+        outputMode="Append",
+        timeMode="ProcessingTime" if idle else "EventTime",
+        initialState=before,
     )
+    return answers.select(*session_columns(key), "seq", "closed")
+
+
+def open_sessions(spark: SparkSession, checkpoint: str, key: str = "ip") -> DataFrame:
+    """All sessions that a stream of ``session_updates`` holds open, read from its state store.
+
+    The stream itself only writes what changed; this is asked for when it is wanted, also while the stream runs.
+    """
+    held = spark.read.format("statestore").option("stateVarName", "session").load(checkpoint)
+    return held.select(F.col(f"key.{key}").alias("key"), "value.*").select(*session_columns(key))
