@@ -69,9 +69,9 @@ def run_until(query: StreamingQuery, done: Callable[[], bool]) -> None:
     watch = _Watch(query, done)
     streams.addListener(watch)
     try:
-        if query.isActive and not done():  # it may have come that far before it was watched
-            while not watch.over.wait(60) and query.isActive:
-                pass
+        # it may have come that far before it was watched, and an event may be lost: hence the look once a second
+        while query.isActive and not done() and not watch.over.wait(1):
+            pass
     finally:
         streams.removeListener(watch)
     if query.isActive:
