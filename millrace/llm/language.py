@@ -38,7 +38,6 @@ FAMILY_OF = {code: family for family, codes in FAMILIES.items() for code in code
 WIDTH = 2048
 
 _FOLD = np.array([c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256)], np.uint32)
-_LETTER = re.compile(r"[^\W\d_]")
 
 
 def family_of(lang: str) -> str:
@@ -46,7 +45,8 @@ def family_of(lang: str) -> str:
 
 
 def has_letter(text: str | None) -> bool:
-    return bool(text) and _LETTER.search(text) is not None
+    """Whether a character of Unicode's category L is in the text; digits such as ``²``, ``½`` or ``Ⅷ`` are none."""
+    return any(map(str.isalpha, text or ""))
 
 
 def features(text: str | None, piece: int = 1 << 22) -> np.ndarray:

@@ -147,3 +147,8 @@ def test_scores_of_odd_rows(odd, none):
     twins = [r for r in rows if r["doc_id"] == 2]
     assert len(twins) == 2 and twins[0] == twins[1]
     assert language_model.score(none, SMALL).count() == 0
+
+
+def test_letters_are_those_of_category_l():
+    assert not any(map(language.has_letter, (None, "", "½ ²", "Ⅷ ①", "12 _ %", "́")))
+    assert all(map(language.has_letter, ("a", "½ ñ", "ª", "ǅ", "日", "ʰ")))
