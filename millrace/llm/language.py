@@ -8,7 +8,6 @@ linear, with squared hinge loss, fitted in numpy on a bounded sample of labelled
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import combinations
