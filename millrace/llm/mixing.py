@@ -22,20 +22,26 @@ from millrace.session import staged
 
 #: Multipliers of the block permutation; a prime is coprime to every count that it does not divide.
 FIRST_PRIME, SECOND_PRIME = 998244353, 1000000007
-#: Largest population of numpy's exact hypergeometric draw.
-EXACT_POPULATION = 1_000_000_000
 
 
 def hypergeometric(rng: np.random.Generator, good: int, bad: int, drawn: int) -> int:
-    """One draw; beyond numpy's exact range the normal law of the same mean and variance, within the bounds."""
+    """How many of ``drawn`` blocks out of ``good + bad`` are good ones, by inversion, for every population.
+
+    Chances follow from the mode by the ratio of neighbours.  They are summed over nine standard deviations (and
+    50 counts) to either side; what lies outside is less than a double can tell from nothing.
+    """
     total = good + bad
     if not (good and bad and drawn):
         return drawn if good else 0
-    if total < EXACT_POPULATION:
-        return int(rng.hypergeometric(good, bad, drawn))
-    mean = drawn * good / total
-    spread = (mean * (bad / total) * ((total - drawn) / (total - 1))) ** 0.5
-    return int(min(max(round(rng.normal(mean, spread)), drawn - bad, 0), good, drawn))
+    spread = (drawn * (good / total) * (bad / total) * ((total - drawn) / max(total - 1, 1))) ** 0.5
+    mode, reach = (drawn + 1) * (good + 1) // (total + 2), int(9 * spread) + 50
+    first = max(mode - reach, drawn - bad, 0)
+    count = min(mode + reach, good, drawn) - first + 1
+    k = first + np.arange(count - 1, dtype=float)
+    steps = np.log(good - k) + np.log(drawn - k) - np.log(k + 1) - np.log(bad - drawn + k + 1)
+    logs = np.concatenate([[0.0], np.cumsum(steps)])
+    upto = np.cumsum(np.exp(logs - logs.max()))
+    return first + min(int(np.searchsorted(upto, rng.random() * upto[-1], side="right")), count - 1)
 
 
 def left_quotas(quotas: Sequence[int], left: int, whole: int, seed: Sequence[int]) -> list[int]:

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.boosting import Boosted, Isotonic, fit_boosted, fit_isotonic
+from millrace.llm.boosting import Boosted, Isotonic, fit_boosted, fit_isotonic, unseen_raw
 from millrace.llm.common import remainder, unit_hash
 from millrace.session import staged
 
@@ -166,9 +166,9 @@ def train(docs: DataFrame, labels: DataFrame, most_rows: int = 40_000, calibrati
     """Fits on about ``most_rows`` labelled documents, chosen by a hash of their id: the bound of the sample.
 
     Rows whose id falls into the held-out fifth (crc32 modulo 5 is 0), null ids and null labels are not used.  Half of
-    the sample gives the word list, the rest the trees, and a ``calibration``-th of that rest calibrates.  Only the
-    sample of ids is broadcast, which ``most_rows`` bounds.  With no labelled row every score is 0; with one class
-    every score is near that class.
+    the sample gives the word list, the rest the trees.  What calibrates are the rest's scores by trees that did not see
+    them, in ``calibration`` folds, at every size.  Only the sample of ids is broadcast, which ``most_rows`` bounds.
+    With no labelled row every score is 0; with one class every score is near that class.
     """
     usable = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & (remainder("doc_id", 5) != 0)).select("doc_id", "toxic")
     rate = most_rows / max(usable.count(), 1)
@@ -186,10 +186,7 @@ def train(docs: DataFrame, labels: DataFrame, most_rows: int = 40_000, calibrati
         return Model(lexicon, Boosted(-50.0), Isotonic(np.zeros(1), np.zeros(1)))
     rows = rows.sort_values("doc_id", kind="stable")
     x, y = np.array(rows["x"].tolist()), rows["toxic"].to_numpy()
-    held = np.arange(len(rows)) % calibration == calibration - 1 if len(rows) >= 1000 else np.ones(len(rows), bool)
-    fitted = ~held if len(rows) >= 1000 else held
-    trees = fit_boosted(x[fitted], y[fitted])
-    return Model(lexicon, trees, fit_isotonic(trees.raw(x[held]), y[held]))
+    return Model(lexicon, fit_boosted(x, y), fit_isotonic(unseen_raw(x, y, calibration), y))
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:

@@ -16,6 +16,18 @@ def test_trees_and_calibration():
     assert (same.raw(np.ones((2, 2))) > 5).all()
 
 
+def test_calibration_uses_scores_of_unseen_rows():
+    rng = np.random.default_rng(5)
+    for n in (40, 3000):  # labels that nothing explains: trees know their own rows by heart, unseen rows they do not
+        x, y = rng.normal(size=(n, 5)), (rng.random(n) < 0.3).astype(float)
+        raw = boosting.unseen_raw(x, y, 4)
+        own = boosting.fit_boosted(x, y).raw(x)
+        gap = lambda r: r[y > 0].mean() - r[y == 0].mean()
+        assert abs(gap(raw)) < gap(own) / 2
+    assert boosting.unseen_raw(np.ones((1, 3)), np.ones(1), 4).tolist() == [0.0]
+    assert len(boosting.unseen_raw(np.ones((2, 3)), np.array([0.0, 1.0]), 4)) == 2
+
+
 def test_toxic_features():
     lexicon = toxicity.Lexicon({b"zog ": 2.0, b"blar": 1.5})
     row = dict(zip(toxicity.FEATURES, toxicity.features("YOU are an IDIOT! a zog, blargh and zogs", lexicon), strict=True))

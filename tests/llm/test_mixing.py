@@ -1,5 +1,7 @@
 from collections import Counter, defaultdict
+from math import comb
 
+import numpy as np
 import pytest
 
 from millrace.llm import mixing
@@ -37,6 +39,23 @@ def test_splits_are_exact():
     assert sum(big) == 2 * 10**9 and abs(big[0] - 1.5 * 10**9) < 10**6
 
 
+@pytest.mark.parametrize(("good", "bad", "drawn"), [(5, 7, 6), (1, 1, 1), (20, 30, 10), (1000, 3, 1000), (3, 0, 2), (0, 4, 2)])
+def test_draws_follow_the_hypergeometric_law(good, bad, drawn):
+    rng = np.random.default_rng(1)
+    seen = Counter(mixing.hypergeometric(rng, good, bad, drawn) for _ in range(20_000))
+    for k in range(min(good, drawn) + 1):
+        chance = comb(good, k) * comb(bad, drawn - k) / comb(good + bad, drawn) if drawn >= k else 0
+        assert seen.pop(k, 0) / 20_000 == pytest.approx(chance, abs=0.02)
+    assert not seen
+
+
+def test_draws_of_huge_populations_have_mean_and_spread():
+    rng = np.random.default_rng(2)
+    got = np.array([mixing.hypergeometric(rng, 3 * 10**10, 10**10, 2 * 10**10) for _ in range(60)]) - 1.5 * 10**10
+    spread = (2 * 10**10 * 0.75 * 0.25 * 0.5) ** 0.5
+    assert abs(got.mean()) < 4 * spread / 60**0.5 and 0.6 * spread < got.std() < 1.5 * spread
+
+
 def test_shards_get_disjoint_exact_blocks(spark, data):
     docs = spark.read.parquet(f"{data}/documents.parquet")
     rows, pieces = mixing.mix(docs, shards=5, block_words=50)
