@@ -315,6 +315,7 @@ _ORACLE |= {
     "stream_sessions": _ORACLE["sessions_by_user"],
     "stream_kmeans": _ORACLE["kmeans_step"],
     "stream_regression": _ORACLE["regression_sgd"],
+    "stream_feed_posts": f"WITH {_POSTS} SELECT id, t AS at, text FROM posts",
     "stream_saved_posts": f"WITH {_POSTS} SELECT text, count(*) AS n FROM posts GROUP BY text",
 }
 

@@ -12,7 +12,7 @@ from millrace.operators.sliding import every_slide
 from millrace.plans.registry import DAY_GAP, first_centres, flat_sessions, flat_windows, query
 from millrace.plans.stream_queries import PARTS, arriving_events, batches, written_parts
 from millrace.session import scratch_path, use_rocksdb_state
-from millrace.sources import derived, lines, posts
+from millrace.sources import derived, feed, lines, posts
 from millrace.streaming import jobs, learning
 from millrace.streaming.runner import for_each_batch
 from millrace.streaming.sessions import open_sessions
@@ -104,6 +104,18 @@ def stream_saved_until(spark, sf_dir):
     return saved.groupBy("text").agg(F.count("*").alias("n"))
 
 
+@query
+def stream_feed_posts(spark, sf_dir):
+    """Every post of a feed that grows between four runs, each going on at the bytes where the one before stopped."""
+    folder = scratch_path(spark, "feed")
+    stored = derived.posts(derived.table(use_rocksdb_state(spark), sf_dir, "events"))
+    for part in parts_by(stored, F.col("id")):
+        part.write.mode("append").json(f"{folder}/in")
+        found = feed.stream_feed(spark, f"{folder}/in")
+        for_each_batch(found, ParquetBatches(f"{folder}/out"), f"{folder}/cp", None).awaitTermination()
+    return batches(spark, f"{folder}/out").select("id", F.unix_seconds("ts").alias("at"), "text")
+
+
 def trained_and_scored(spark: SparkSession, sf_dir: str, folder: str) -> None:
     """Each part goes to a training and a scoring stream that run side by side; part p is scored by what the parts before it taught."""
     start = first_centres(spark, sf_dir)

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -84,6 +85,17 @@ def clear_scratch(spark: SparkSession, frames: Iterable[DataFrame]) -> None:
             path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+@contextmanager
+def passing_scratch(spark: SparkSession, name: str) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """``staged`` for the length of a block: what it wrote is deleted when the block ends, however it ends."""
+    base = scratch_path(spark, name)
+    try:
+        yield lambda df, part: _written(df, f"{base}/{part}-{uuid.uuid4().hex}")
+    finally:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(base)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """The same rows, written once to the shared folder and read back.
 
@@ -91,6 +103,9 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     the input is read once whatever the optimizer makes of the uses, an executor lost later costs
     no second pass over it, and the optimizer knows the true size.
     """
-    path = scratch_path(df.sparkSession, name)
+    return _written(df, scratch_path(df.sparkSession, name))
+
+
+def _written(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -17,9 +17,13 @@ from pyspark.sql import functions as F
 
 from millrace.operators import alarms as al
 from millrace.operators.timeline import floor_to, second_of
-from millrace.session import staged
+from millrace.session import passing_scratch
 from millrace.streaming.versions import VersionedTable
 
+#: Writes what a batch uses several times; gone when the batch ends.
+Staged = Callable[[DataFrame, str], DataFrame]
+
+
 def step_rows(
     rows: DataFrame,
     by: Sequence[str],
@@ -90,8 +94,11 @@ class StepBatches:
             late.write.mode("overwrite").parquet(f"{self.state}/late/batch_id={batch_id}")
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        steps = staged(self.summed(batch), "steps")
+        with passing_scratch(batch.sparkSession, "batch") as staged:
+            self.take(staged(self.summed(batch), "steps"), batch_id, staged)
+
+    def take(self, steps: DataFrame, batch_id: int, staged: Staged) -> None:
+        spark = steps.sparkSession
         mark = self.marks(spark).before(batch_id).first()
         before, newest = (mark["until"], mark["newest"]) if mark else (None, None)
         self.report_late(steps, before, batch_id)
@@ -101,7 +108,7 @@ class StepBatches:
         newest = seen if newest is None else max(seen, newest)
         until = floor_step(newest - self.delay, self.slide)
         until = until if before is None else max(until, before)
-        self.advance(spark, steps.where("step IS NOT NULL"), before, until, batch_id)
+        self.advance(spark, steps.where("step IS NOT NULL"), before, until, batch_id, staged)
         self.marks(spark).write(batch_id, spark.createDataFrame([(until, newest)], "until BIGINT, newest BIGINT"))
 
     def close(self, spark: SparkSession) -> None:
@@ -112,12 +119,15 @@ class StepBatches:
         versions = self.marks(spark).versions()
         if versions:
             mark = self.marks(spark).read(versions[-1]).first()
-            self.finish(spark, mark["until"], mark["newest"], versions[-1] + 1)
+            with passing_scratch(spark, "close") as staged:
+                self.finish(spark, mark["until"], mark["newest"], versions[-1] + 1, staged)
 
-    def advance(self, spark: SparkSession, steps: DataFrame, before: int | None, until: int, batch_id: int) -> None:
+    def advance(
+        self, spark: SparkSession, steps: DataFrame, before: int | None, until: int, batch_id: int, staged: Staged
+    ) -> None:
         raise NotImplementedError
 
-    def finish(self, spark: SparkSession, before: int, newest: int, batch_id: int) -> None:
+    def finish(self, spark: SparkSession, before: int, newest: int, batch_id: int, staged: Staged) -> None:
         raise NotImplementedError
 
 
@@ -158,17 +168,19 @@ class AlarmBatches(StepBatches):
             lines, self.window, self.slide, self.min_total, self.max_ratio, self.max_silence, after=after, until=until
         )
 
-    def advance(self, spark: SparkSession, steps: DataFrame, before: int | None, until: int, batch_id: int) -> None:
+    def advance(
+        self, spark: SparkSession, steps: DataFrame, before: int | None, until: int, batch_id: int, staged: Staged
+    ) -> None:
         steps = staged(self.summed(self.carried(spark).before(batch_id).unionByName(steps)), "steps")
-        self.judge(self.status(steps, before, until), batch_id)
+        self.judge(self.status(steps, before, until), batch_id, staged)
         # the last step with events stays too, to measure silence from
         seen = steps.where(F.col("n") > 0).where(F.col("step") < until).agg(F.max("step")).scalar()
         self.carried(spark).write(batch_id, steps.where((F.col("step") >= until - self.window) | (F.col("step") == seen)))
 
-    def finish(self, spark: SparkSession, before: int, newest: int, batch_id: int) -> None:
-        self.judge(self.status(self.carried(spark).before(batch_id), before, None), batch_id)
+    def finish(self, spark: SparkSession, before: int, newest: int, batch_id: int, staged: Staged) -> None:
+        self.judge(self.status(self.carried(spark).before(batch_id), before, None), batch_id, staged)
 
-    def judge(self, windows: DataFrame, batch_id: int) -> None:
+    def judge(self, windows: DataFrame, batch_id: int, staged: Staged) -> None:
         spark = windows.sparkSession
         last = self.table(spark, "issued", ["window_end BIGINT"])
         windows = staged(windows, "status")

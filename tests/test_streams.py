@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.operators import alarms, kmeans, logs, regression, running, sessions, sliding, words
+from millrace.session import passing_scratch
 from millrace.sources import derived, lines, posts
 from millrace.streaming import counts, jobs, learning, runner, sinks, windows
 from millrace.streaming.sessions import SessionBatches
@@ -439,6 +440,26 @@ def test_windows_leave_nothing_behind(spark, folders, tmp_path):
     assert sorted(os.listdir(shared)) == before and not os.path.exists(f"{tmp_path}/state")
 
 
+def test_alarms_leave_no_folders_of_their_batches(spark, folders, log, tmp_path):
+    """What a batch uses several times is gone when it has ended; the state holds a few small tables."""
+    shared = spark.conf.get("spark.checkpoint.dir")
+    before = sorted(os.listdir(shared))
+    run = jobs.watch_errors(
+        stream(spark, folders["log"], LOG_SCHEMA), f"{tmp_path}/state", f"{tmp_path}/status", f"{tmp_path}/alarms", f"{tmp_path}/cp", interval=None
+    )
+    finish_windows(spark, run)
+    assert sorted(os.listdir(shared)) == before and os.listdir(f"{tmp_path}/status")
+
+
+def test_passing_scratch_is_deleted_after_a_failure(spark, tmp_path):
+    shared = spark.conf.get("spark.checkpoint.dir")
+    before = sorted(os.listdir(shared))
+    with pytest.raises(KeyError), passing_scratch(spark, "some") as staged:
+        assert staged(spark.range(5), "rows").count() == 5 and sorted(os.listdir(shared)) != before
+        raise KeyError
+    assert sorted(os.listdir(shared)) == before
+
+
 def test_live_top_k_drops_weak_keys_before_expanding(spark):
     """Stretches that cannot rank are gone before a stretch becomes a row per second."""
     stretches = [("big", 6000, 6600, 50)] + [(f"rare{i}", 6000 + i, 6300 + i, 1) for i in range(100)]
