@@ -98,7 +98,7 @@ def stream_saved_until(spark, sf_dir):
     """Post texts of a stream that is stopped after the batch in which more than 1,000 posts are out."""
     folder = scratch_path(spark, "saved-until")
     stored = derived.posts(derived.table(use_rocksdb_state(spark), sf_dir, "events"))
-    written_parts(stored.coalesce(1), "ts", f"{folder}/in", "json")  # a file, and so a batch, per part
+    written_parts(stored.coalesce(1), "ts", f"{folder}/in", "json", file_rows=0)  # a file, and so a batch, per part
     jobs.save_until(posts.stream_posts(spark, f"{folder}/in", max_files_per_trigger=1), f"{folder}/out", f"{folder}/cp", 1000, None)
     saved = spark.read.text(f"{folder}/out").select(F.col("value").alias("text"))
     return saved.groupBy("text").agg(F.count("*").alias("n"))

@@ -41,27 +41,40 @@ def log_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 PARTS = 4
 
 
-def written_parts(df: DataFrame, ts: str, folder: str, fmt: str = "parquet") -> int:
+#: Rows of a file of a part: a Parquet file of one row group is read by one task, so a part has to be many files.
+FILE_ROWS = 100_000
+
+
+def written_parts(df: DataFrame, ts: str, folder: str, fmt: str = "parquet", file_rows: int = FILE_ROWS) -> int:
     """The rows in time order, written part after part; gives the seconds that a part spans.
 
     Files are read in the order in which they were written.  A part may be many files, so rows come late by the
-    span of a part at most.
+    span of a part at most.  ``file_rows`` 0 leaves a file per task.
     """
     at = F.unix_seconds(F.col(ts).cast("timestamp"))
     first, last = df.agg(F.min(at), F.max(at)).first()
     span = (last - first) // PARTS + 1
     for i in range(PARTS):
         piece = df.where((at >= first + i * span) & (at < first + (i + 1) * span))
-        piece.write.mode("append").format(fmt).save(folder)
+        piece.write.mode("append").option("maxRecordsPerFile", file_rows).format(fmt).save(folder)
     return span
 
 
+def files_per_batch(spark: SparkSession, folder: str) -> int:
+    """So many files that a stream takes the folder in ``PARTS`` batches at most, however many tasks wrote it.
+
+    With a file per batch the batches would grow with the input, and a file that cannot be split would leave all cores but one idle.
+    """
+    files = len(spark.read.text(folder).inputFiles())
+    return max(1, -(-files // PARTS))
+
+
 def arriving_events(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int]:
     """The stored events as a stream of several batches in time order, and how late rows may come (in log time)."""
     table = derived.table(use_rocksdb_state(spark), sf_dir, "events")
     folder = scratch_path(spark, "arriving")
     span = written_parts(table, "ts", folder)
-    stream = spark.readStream.schema(table.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    stream = spark.readStream.schema(table.schema).option("maxFilesPerTrigger", files_per_batch(spark, folder)).parquet(folder)
     return stream, span // derived.SQUEEZE + 2
 
 
@@ -156,7 +169,8 @@ def stream_text_status(spark, sf_dir):
     folder = scratch_path(spark, "text-status")
     stored = derived.access_log(derived.table(use_rocksdb_state(spark), sf_dir, "events"))
     stored.select("line").write.text(f"{folder}/in")
-    windows = jobs.status_windows(lines.stream_lines(spark, f"{folder}/in", 1), "10 minutes")
+    streamed = lines.stream_lines(spark, f"{folder}/in", files_per_batch(spark, f"{folder}/in"))
+    windows = jobs.status_windows(streamed, "10 minutes")
     return newest_result(flat_windows(windows), folder)
 
 
@@ -164,7 +178,7 @@ def json_posts(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
     """The posts as a stream of JSON files in time order."""
     stored = derived.posts(derived.table(use_rocksdb_state(spark), sf_dir, "events"))
     written_parts(stored, "ts", f"{folder}/in", "json")
-    return posts.stream_posts(spark, f"{folder}/in", max_files_per_trigger=1)
+    return posts.stream_posts(spark, f"{folder}/in", max_files_per_trigger=files_per_batch(spark, f"{folder}/in"))
 
 
 @query

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators import sessions
 from millrace.plans.resumed_queries import parts_by
+from millrace.plans.stream_queries import PARTS, arriving_events
 from millrace.sources import derived, posts
 from millrace.streaming import jobs, runner, sinks
 from millrace.streaming.sessions import open_sessions
@@ -152,6 +153,28 @@ def test_closed_windows_leave_the_state(spark, tmp_path):
     assert runner.late_rows(query) > 0  # the last file came hours late
 
 
+@pytest.mark.parametrize("files", [1, 7, 12])
+def test_batches_do_not_grow_with_files(spark, tmp_path, files):
+    """Parts that many tasks wrote come as whole batches, read by several tasks, and no row is late."""
+    day = F.timestamp_seconds(F.lit(BASE) + F.col("id") * 7200).cast("timestamp_ntz")
+    rows = spark.range(0, 360, 1, files).select(
+        F.col("id").alias("event_id"), day.alias("ts"), (F.col("id") % 9).alias("user_id"), F.lit("view").alias("event_type")
+    )
+    rows.repartition(files).write.parquet(f"{tmp_path}/events.parquet")
+    stream, late = arriving_events(spark, str(tmp_path))
+    batches = []
+    frame = derived.access_log(stream)
+    runner.for_each_batch(frame, lambda batch, i: batches.append((batch.count(), batch.rdd.getNumPartitions())), f"{tmp_path}/cp", None).awaitTermination()
+    assert len(batches) <= PARTS and sum(n for n, _ in batches) == 360
+    assert files == 1 or all(tasks > 1 for _, tasks in batches)
+    query = runner.for_each_batch(
+        jobs.status_windows(frame, "10 minutes", f"{late} seconds"), sinks.ParquetBatches(f"{tmp_path}/out"), f"{tmp_path}/cp-windows", None
+    )
+    query.awaitTermination()
+    assert runner.late_rows(query) == 0
+    assert spark.read.parquet(f"{tmp_path}/out").agg(F.sum("n")).first()[0] > 0
+
+
 def test_saver_stops_after_the_batch_that_passes_the_bound(spark, events, tmp_path):
     for part in parts_by(derived.posts(events).coalesce(1), F.col("id")):
         part.write.mode("append").json(f"{tmp_path}/in")
