@@ -166,57 +166,88 @@ def contexts(rows: list[np.ndarray], end: int, width: int) -> tuple[np.ndarray,
     return np.stack([flat[at - k - 1] for k in range(width)], 1), flat[at], np.cumsum(sizes) - sizes
 
 
-def summed(at: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
-    """Sums of the rows of ``values`` by ``at``, over sorted stretches."""
-    order = np.argsort(at, kind="stable")
-    which, first = np.unique(at[order], return_index=True)
-    out = np.zeros((size, values.shape[1]), np.float32)
-    out[which] = np.add.reduceat(values[order], first, axis=0)
-    return out
+def sigmoid(x: np.ndarray) -> np.ndarray:
+    """In place."""
+    np.negative(x, out=x)
+    np.minimum(x, 30, out=x)
+    np.exp(x, out=x)
+    x += 1
+    return np.reciprocal(x, out=x)
+
+
+#: Order of the parameters where they are one row of numbers.
+PARTS = ("seen", "turn", "next", "bias")
 
 
 class Trainer:
-    """Noise-contrastive estimation with Adagrad; the noise classes are drawn once for each batch."""
+    """Noise-contrastive estimation with Adagrad; the noise classes are drawn once for each batch.
+
+    Parameters, scales and gradients are one row of numbers each, with a view for each part; sums by class are counts
+    with weights.  Steps are small, so their cost is that of the calls.
+    """
 
     def __init__(self, parameters: dict[str, np.ndarray], shares: np.ndarray, shape: Shape, seed: int) -> None:
-        self.p = {k: v.copy() for k, v in parameters.items()}
-        self.scale = {k: np.full(v.shape, 0.1, np.float32) for k, v in parameters.items()}
+        self.values = flat(parameters).astype(np.float32)
+        self.p = shaped(self.values, parameters)
+        self.scale = np.full(self.values.shape, 0.1, np.float32)
+        self.gradient = np.empty_like(self.values)
+        self.g = shaped(self.gradient, parameters)
         self.shape, self.rng = shape, np.random.default_rng(seed)
         self.cumulated, self.log_noise = np.cumsum(shares), np.log(shape.noise * shares).astype(np.float32)
+        #: Where the numbers of a class stand in a table of class vectors.
+        self.cells = np.arange(parameters["seen"].size).reshape(parameters["seen"].shape)
         self.tokens = 0
 
-    def step(self, before: np.ndarray, target: np.ndarray) -> None:
-        p, shape, n = self.p, self.shape, len(target)
-        noise = np.minimum(np.searchsorted(self.cumulated, self.rng.random(shape.noise)), len(self.cumulated) - 1)
-        seen = [p["seen"][before[:, k]] for k in range(shape.context)]
-        said = sum(s @ t for s, t in zip(seen, p["turn"], strict=True))
-        right, wrong = p["next"][target], p["next"][noise]
-        true = (said * right).sum(1) + p["bias"][target] - self.log_noise[target]
-        false = said @ wrong.T + p["bias"][noise] - self.log_noise[noise]
-        g_true = (1 / (1 + np.exp(-np.clip(true, -30, 30))) - 1) / n
-        g_false = 1 / (1 + np.exp(-np.clip(false, -30, 30))) / n
-        g_said = g_true[:, None] * right + g_false @ wrong
-        k = len(p["bias"])
-        g_next = summed(target, g_true[:, None] * said, k)
-        np.add.at(g_next, noise, g_false.T @ said)
-        g_bias = np.bincount(target, g_true, k)
-        np.add.at(g_bias, noise, g_false.sum(0))
-        g_turn = np.stack([s.T @ g_said for s in seen])
-        g_seen = sum(summed(before[:, i], g_said @ p["turn"][i].T, k) for i in range(shape.context))
-        for name, g in (("next", g_next), ("bias", g_bias.astype(np.float32)), ("turn", g_turn), ("seen", g_seen)):
-            self.scale[name] += g**2
-            p[name] -= shape.rate * g / np.sqrt(self.scale[name])
+    def learn(self, before: np.ndarray, target: np.ndarray, size: int) -> None:
+        """Steps of ``size`` tokens each."""
+        drawn = self.rng.random((-(-len(target) // size), self.shape.noise))
+        noise = np.minimum(np.searchsorted(self.cumulated, drawn), len(self.cumulated) - 1)
+        for i, at in enumerate(range(0, len(target), size)):
+            self.step(before[at : at + size], target[at : at + size], noise[i])
+
+    def step(self, before: np.ndarray, target: np.ndarray, noise: np.ndarray) -> None:
+        p, g, cells, n, m = self.p, self.g, self.cells, len(target), len(noise)
+        turn = p["turn"].reshape(-1, self.shape.dim)
+        seen = p["seen"].take(before, 0).reshape(n, -1)
+        said = seen @ turn
+        right, wrong = p["next"].take(target, 0), p["next"].take(noise, 0)
+        above = p["bias"] - self.log_noise
+        g_true = sigmoid(np.einsum("ij,ij->i", said, right) + above[target])
+        g_true -= 1
+        g_true /= n
+        g_false = said @ wrong.T
+        g_false += above[noise]
+        sigmoid(g_false)
+        g_false /= n
+        g_said = g_false @ wrong
+        right *= g_true[:, None]
+        g_said += right
+        both = np.concatenate((target, noise))
+        pulls = np.empty((n + m, self.shape.dim), np.float32)
+        np.multiply(said, g_true[:, None], out=pulls[:n])
+        np.matmul(g_false.T, said, out=pulls[n:])
+        g["next"][:] = np.bincount(cells.take(both, 0).ravel(), pulls.ravel(), cells.size).reshape(cells.shape)
+        g["bias"][:] = np.bincount(both, np.concatenate((g_true, g_false.sum(0))), len(cells))
+        g["turn"].reshape(turn.shape)[:] = seen.T @ g_said
+        g["seen"][:] = np.bincount(cells.take(before, 0).ravel(), (g_said @ turn.T).ravel(), cells.size).reshape(cells.shape)
+        step = self.gradient * self.gradient
+        self.scale += step
+        np.sqrt(self.scale, out=step)
+        np.divide(self.gradient, step, out=step)
+        step *= self.shape.rate
+        self.values -= step
         self.tokens += n
 
 
 def flat(parameters: dict[str, np.ndarray]) -> np.ndarray:
-    return np.concatenate([parameters[k].ravel() for k in ("seen", "turn", "next", "bias")])
+    return np.concatenate([parameters[k].ravel() for k in PARTS])
 
 
 def shaped(values: np.ndarray, like: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    """Views of a row of numbers as the parts of ``like``."""
     out, at = {}, 0
-    for k in ("seen", "turn", "next", "bias"):
-        out[k] = values[at : at + like[k].size].reshape(like[k].shape).astype(np.float32)
+    for k in PARTS:
+        out[k] = values[at : at + like[k].size].reshape(like[k].shape)
         at += like[k].size
     return out
 
@@ -238,8 +269,7 @@ def train(docs: DataFrame, known: Vocabulary, shape: Shape) -> dict[str, np.ndar
 
             def learn() -> None:
                 before, target, _ = contexts(rest, 0, shape.context)
-                for at in range(0, len(target), size):
-                    trainer.step(before[at : at + size], target[at : at + size])
+                trainer.learn(before, target, size)
                 rest.clear()
 
             for batch in batches:
@@ -261,20 +291,30 @@ def train(docs: DataFrame, known: Vocabulary, shape: Shape) -> dict[str, np.ndar
         if sums:
             values = np.zeros(len(sums))
             values[[r["at"] for r in sums]] = [r["mean"] for r in sums]
-            parameters = shaped(values, parameters)
+            parameters = shaped(values.astype(np.float32), parameters)
     return parameters
 
 
-def class_log10(parameters: dict[str, np.ndarray], before: np.ndarray, target: np.ndarray, rows: int = 4096) -> np.ndarray:
-    """Normalised log10 probabilities of the target classes, by batched matrix products."""
-    out = np.empty(len(target))
-    for at in range(0, len(target), rows):
-        said = sum(parameters["seen"][before[at : at + rows, k]] @ t for k, t in enumerate(parameters["turn"]))
-        score = said @ parameters["next"].T + parameters["bias"]
-        of = score[np.arange(len(score)), target[at : at + rows]]
-        most = score.max(1)
-        score -= most[:, None]
-        out[at : at + rows] = of - most - np.log(np.exp(score, out=score).sum(1))
+def class_log10(parameters: dict[str, np.ndarray], before: np.ndarray, target: np.ndarray, most: int = 1 << 18, stack: int = 16) -> np.ndarray:
+    """Normalised log10 probabilities of the target classes, by stacks of matrix products.
+
+    Each product has ``most`` multiplications, so few that the matrix library does it in one thread: threads that wait for
+    each other would only burn time, as tasks fill the cores.  The bias is one more dimension.
+    """
+    turned = [parameters["seen"] @ t for t in parameters["turn"]]
+    following = np.concatenate((parameters["next"].T, parameters["bias"][None]))
+    out, rows = np.empty(len(target)), max(1, most // following.size)
+    said = np.ones((stack, rows, len(following)), np.float32)
+    score = np.empty((stack, rows, following.shape[1]), np.float32)
+    flat_said, flat_score = said.reshape(stack * rows, -1), score.reshape(stack * rows, -1)
+    for at in range(0, len(target), stack * rows):
+        near, of = before[at : at + stack * rows], target[at : at + stack * rows]
+        flat_said[: len(of), :-1] = sum(t.take(near[:, k], 0) for k, t in enumerate(turned))
+        np.matmul(said, following, out=score)
+        some = flat_score[: len(of)]
+        some -= some.max(1)[:, None]
+        hit = some[np.arange(len(of)), of]
+        out[at : at + stack * rows] = hit - np.log(np.exp(some, out=some).sum(1))
     return out / np.log(10)
 
 

@@ -1,3 +1,5 @@
+import time
+
 import numpy as np
 import pytest
 
@@ -134,6 +136,54 @@ def test_scores(spark, data):
     assert all(again[i]["score"] == pytest.approx(rows[i]["score"], rel=1e-3) for i in rows)
 
 
+def plain_step(p, scale, shape, log_noise, before, target, noise):
+    """A step of noise-contrastive estimation with Adagrad, by the book, in double precision."""
+    n, seen = len(target), [p["seen"][before[:, k]] for k in range(shape.context)]
+    said = sum(s @ t for s, t in zip(seen, p["turn"], strict=True))
+    right, wrong = p["next"][target], p["next"][noise]
+    g_true = (1 / (1 + np.exp(-((said * right).sum(1) + p["bias"][target] - log_noise[target]))) - 1) / n
+    g_false = 1 / (1 + np.exp(-(said @ wrong.T + p["bias"][noise] - log_noise[noise]))) / n
+    g_said = g_true[:, None] * right + g_false @ wrong
+    g = {k: np.zeros(v.shape) for k, v in p.items()}
+    for name, of_target, of_noise in (("next", g_true[:, None] * said, g_false.T @ said), ("bias", g_true, g_false.sum(0))):
+        np.add.at(g[name], target, of_target)
+        np.add.at(g[name], noise, of_noise)
+    for k in range(shape.context):
+        g["turn"][k] = seen[k].T @ g_said
+        np.add.at(g["seen"], before[:, k], g_said @ p["turn"][k].T)
+    for name in p:
+        scale[name] += g[name] ** 2
+        p[name] -= shape.rate * g[name] / np.sqrt(scale[name])
+
+
+def test_training_is_the_plain_one_and_products_stay_in_one_thread():
+    shape, rng = language_model.Shape(), np.random.default_rng(5)
+    k = shape.classes
+    shares = rng.random(k) ** 4 + 1e-4
+    shares /= shares.sum()
+    p = {
+        "seen": rng.normal(0, 0.1, (k, shape.dim)), "turn": np.stack([np.eye(shape.dim)] * shape.context) / shape.context,
+        "next": rng.normal(0, 0.1, (k, shape.dim)), "bias": np.log(shares),
+    }
+    drawn = rng.choice(k, 1300 + shape.context, p=shares)
+    before, target, _ = language_model.contexts([drawn], 0, shape.context)
+    trainer = language_model.Trainer({n: v.astype(np.float32) for n, v in p.items()}, shares, shape, 7)
+    trainer.learn(before, target, 256)
+    noise, scale = np.random.default_rng(7), {n: np.full(v.shape, 0.1) for n, v in p.items()}
+    for at in range(0, len(target), 256):  # the last step is a short one
+        of_step = np.searchsorted(np.cumsum(shares), noise.random(shape.noise))
+        plain_step(p, scale, shape, np.log(shape.noise * shares), before[at : at + 256], target[at : at + 256], of_step)
+    assert all(np.abs(trainer.p[n] - p[n]).max() < 1e-5 for n in p) and trainer.tokens == len(target)
+
+    before, target = np.tile(before, (100, 1)), np.tile(target, 100)
+    score = sum(p["seen"][before[:, i]] @ p["turn"][i] for i in range(shape.context)) @ p["next"].T + p["bias"]
+    want = (score[np.arange(len(target)), target] - np.log(np.exp(score).sum(1))) / np.log(10)
+    wall, cpu = time.perf_counter(), time.process_time()
+    got = language_model.class_log10(trainer.p, before, target)
+    wall, cpu = time.perf_counter() - wall, time.process_time() - cpu
+    assert np.abs(got - want).max() < 1e-4 and cpu < 1.4 * wall + 0.05
+
+
 def test_model_beats_counts_on_held_out_texts(spark):
     rng, rows = np.random.default_rng(3), []
     groups = [[f"{c}{k}" for k in range(40)] for c in "abcd"]
