@@ -1,5 +1,7 @@
+import contextlib
 import hashlib
 import math
+import os
 import random
 import re
 
@@ -293,6 +295,44 @@ def test_linked_vectors(spark, tile, blocks):
     assert sum(r["n_links"] for r in got) > 50
 
 
+def written(spark):
+    """Bytes of each file below the shared folder and of each shuffle file."""
+    local = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().localDirs()
+    found = {}
+    for top in (spark.conf.get("spark.checkpoint.dir"), *(d.getPath() for d in local)):
+        for at, _, names in os.walk(top):
+            for name in names:
+                with contextlib.suppress(OSError):  # Spark deletes shuffles that nothing refers to
+                    found[f"{at}/{name}"] = os.path.getsize(f"{at}/{name}")
+    return found
+
+
+def test_vectors_are_not_written_for_each_tile(spark):
+    rows = [(i, v.tolist(), 1) for i, v in enumerate(np.random.default_rng(3).normal(size=(4000, 64)).astype(np.float32))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    before = written(spark)
+    assert embeddings.near_duplicates(df).where("n_links = 0 AND kept").count() == 4000
+    new = sum(size for name, size in written(spark).items() if name not in before)
+    assert new < 4 * 4000 * 64 * 4
+
+
+@pytest.mark.parametrize("kind,label,run,group,tile", [("float", "string", 1 << 11, 1 << 13, 1024), ("double", "double", 1 << 12, 1, 5), ("float", "int", 1, 1 << 10, 3)])
+def test_every_two_runs_meet_once(spark, kind, label, run, group, tile):
+    rng, rows = np.random.default_rng(21), []
+    names = {"string": ["b", "a", ""], "double": [math.nan, -1.0, 0.0], "int": [7, 3, 5]}[label]
+    centres = rng.normal(size=(5, 32))
+    for i in range(150):  # a crowd of one label, a chain of links, vectors without any, and other lengths
+        dim, near = (32, centres[i % 5]) if i % 10 else (20, centres[i % 5][:20])
+        vector = near + rng.choice([0.02, 0.2, 1.0]) * rng.normal(size=dim)
+        rows.append((i, [float(np.float32(x)) for x in vector], names[0] if i % 3 else names[i % 2 + 1]))
+    rows += [(i + 300, *rows[i][1:]) for i in range(0, 150, 7)]
+    df = spark.createDataFrame(rows, f"vec_id long, embedding array<{kind}>, label {label}").repartition(3)
+    got = embeddings.near_duplicates(df, run=run, group=group, tile=tile).collect()
+    known = [(i, v, str(x)) for i, v, x in rows]  # not-a-number is a label like others
+    assert sorted(map(tuple, got)) == sorted(slow_vectors(known, 0.93))
+    assert max(r["n_links"] for r in got) > 10
+
+
 def test_no_vectors(spark):
     none = spark.createDataFrame([], "vec_id long, embedding array<float>, label int, extra string")
     assert embeddings.near_duplicates(none).count() == 0
