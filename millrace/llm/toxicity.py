@@ -168,7 +168,8 @@ def train(docs: DataFrame, labels: DataFrame, most_rows: int = 40_000, calibrati
     Rows whose id falls into the held-out fifth (crc32 modulo 5 is 0), null ids and null labels are not used.  Half of
     the sample gives the word list, the rest the trees.  What calibrates are the rest's scores by trees that did not see
     them, in ``calibration`` folds, at every size.  Only the sample of ids is broadcast, which ``most_rows`` bounds.
-    With no labelled row every score is 0; with one class every score is near that class.
+    With no labelled row every score is 0; with one class every score is near that class.  A class of a single row has no
+    fold that could learn it without seeing it; then the scores of the trees themselves calibrate.
     """
     usable = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & (remainder("doc_id", 5) != 0)).select("doc_id", "toxic")
     rate = most_rows / max(usable.count(), 1)
@@ -186,7 +187,8 @@ def train(docs: DataFrame, labels: DataFrame, most_rows: int = 40_000, calibrati
         return Model(lexicon, Boosted(-50.0), Isotonic(np.zeros(1), np.zeros(1)))
     rows = rows.sort_values("doc_id", kind="stable")
     x, y = np.array(rows["x"].tolist()), rows["toxic"].to_numpy()
-    return Model(lexicon, fit_boosted(x, y), fit_isotonic(unseen_raw(x, y, calibration), y))
+    trees, alone = fit_boosted(x, y), min((y > 0).sum(), (y <= 0).sum()) == 1
+    return Model(lexicon, trees, fit_isotonic(trees.raw(x) if alone else unseen_raw(x, y, calibration), y))
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
