@@ -30,13 +30,15 @@ from millrace.llm.common import components
 from millrace.session import scratch_path, setting, staged
 
 #: Bytes of vectors in a run, and of the runs that a task holds against the runs it reads one by one.
-RUN, GROUP = 1 << 23, 1 << 26
+RUN, GROUP = 1 << 23, 1 << 25
 #: So many groups of runs are compared in one job.
 ROUND = 32
-#: Bytes of pairs of runs that go to Python at once.
-BATCH = "24m"
+#: Bytes that end a batch for Python: less than a pair of full runs, so that it goes alone.
+BATCH = "8m"
 #: Leading coordinates whose signs order the vectors of a run.
 SIGNS = 16
+#: Rows that are in double precision at once.
+PIECE = 1 << 12
 #: What a task gets of either run of a pair.
 PAIRED = ("first", "dim", "kind", "labels", "n", "vectors")
 
@@ -101,17 +103,25 @@ class Run:
         for label, same in groupby(None if x != x else x for x in row["labels"].as_py()):  # not-a-number equals itself
             self.labels[label] = (at, at := at + len(list(same)))
         self.raw = np.frombuffer(row["vectors"].as_buffer(), row["kind"].as_py()).reshape(-1, dim)
-        unit = self.scaled(slice(None))
-        unit /= np.linalg.norm(unit, axis=1, keepdims=True)
-        turned = unit @ rotation(dim)
-        signs = (turned[:, :SIGNS] > 0) @ (1 << np.arange(min(dim, SIGNS)))
+        half, turn = self.edge(dim, blocks), rotation(dim)
+        unit, part, signs = np.empty(self.raw.shape, np.float32), np.empty((len(self.raw), half + 1), np.float32), np.empty(len(self.raw), np.int64)
+        for at in range(0, len(unit), PIECE):
+            piece = slice(at, at + PIECE)
+            exact = self.scaled(piece)
+            exact /= np.linalg.norm(exact, axis=1, keepdims=True)
+            turned = exact @ turn
+            unit[piece], part[piece, :half] = exact, turned[:, :half]
+            part[piece, half] = np.sqrt(np.maximum(0, 1 - (turned[:, :half] ** 2).sum(1)))
+            signs[piece] = (turned[:, :SIGNS] > 0) @ (1 << np.arange(min(dim, SIGNS)))
         label_at = np.repeat(np.arange(len(self.labels)), [e - s for s, e in self.labels.values()])
         self.order = np.lexsort((signs, label_at))
-        self.raw, unit, turned = self.raw[self.order], unit[self.order], turned[self.order]
-        edge = edges_of(dim, blocks)
-        part = turned[:, : edge[max(1, (len(edge) - 1) // 2)]]
-        rest = np.sqrt(np.maximum(0, 1 - (part**2).sum(1)))[:, None]
-        self.unit, self.part = unit.astype(np.float32), np.concatenate((part, rest), 1).astype(np.float32)
+        self.raw, self.unit, self.part = self.raw[self.order], unit[self.order], part[self.order]
+
+    @staticmethod
+    def edge(dim: int, blocks: int) -> int:
+        """Where the first half of the blocks ends."""
+        edges = edges_of(dim, blocks)
+        return int(edges[max(1, (len(edges) - 1) // 2)])
 
     def scaled(self, at) -> np.ndarray:
         raw = self.raw[at].astype(np.float64)
@@ -122,9 +132,9 @@ class Run:
 def cosines(a: Run, b: Run, x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """The cosines of pairs, in double precision."""
     out = np.empty(len(x))
-    for at in range(0, len(x), 1 << 15):
-        p, q = a.scaled(x[at : at + (1 << 15)]), b.scaled(y[at : at + (1 << 15)])
-        out[at : at + (1 << 15)] = (p * q).sum(1) / (np.sqrt((p**2).sum(1)) * np.sqrt((q**2).sum(1)))
+    for at in range(0, len(x), PIECE):
+        p, q = a.scaled(x[at : at + PIECE]), b.scaled(y[at : at + PIECE])
+        out[at : at + PIECE] = (p * q).sum(1) / (np.sqrt((p**2).sum(1)) * np.sqrt((q**2).sum(1)))
     return out
 
 
